@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import media, packing
+from millrace.llm import media, packing, pii, quality
 from millrace.llm.common import table
 
 
@@ -22,5 +22,13 @@ def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digest_media(media.media_documents(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {"op2_packing": op2_packing, "op3_media_columns": op3_media_columns}
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest_spans(pii.annotate(table(spark, sf_dir, "documents")))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {"op2_packing": op2_packing, "op3_media_columns": op3_media_columns, "op4_pii": op4_pii, "op10_quality_classifier": op10_quality_classifier}
 ORACLE_SQL: dict[str, str] = {}
