@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import media, packing, pii, quality
+from millrace.llm import media, minhash, packing, pii, quality
 from millrace.llm.common import table
 
 
@@ -26,9 +26,13 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest_spans(pii.annotate(table(spark, sf_dir, "documents")))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Params(words=4))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op2_packing": op2_packing, "op3_media_columns": op3_media_columns, "op4_pii": op4_pii, "op10_quality_classifier": op10_quality_classifier}
+QUERIES = {"op2_packing": op2_packing, "op3_media_columns": op3_media_columns, "op4_pii": op4_pii, "op7_minhash": op7_minhash, "op10_quality_classifier": op10_quality_classifier}
 ORACLE_SQL: dict[str, str] = {}
