@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import media, minhash, packing, pii, quality
+from millrace.llm import chat, decontaminate, media, minhash, packing, pii, quality, sharding, urls
 from millrace.llm.common import table
 
 
@@ -34,5 +34,37 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op2_packing": op2_packing, "op3_media_columns": op3_media_columns, "op4_pii": op4_pii, "op7_minhash": op7_minhash, "op10_quality_classifier": op10_quality_classifier}
-ORACLE_SQL: dict[str, str] = {}
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge(urls.captured(table(spark, sf_dir, "pages")), urls.events(spark))
+    return judged.withColumn("fetched_at", judged["fetched_at"].cast("string"))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op2_packing": op2_packing,
+    "op3_media_columns": op3_media_columns,
+    "op4_pii": op4_pii,
+    "op6_chat_formatting": op6_chat_formatting,
+    "op7_minhash": op7_minhash,
+    "op8_url_filter": op8_url_filter,
+    "op9_sharding": op9_sharding,
+    "op10_quality_classifier": op10_quality_classifier,
+}
+ORACLE_SQL = {
+    "op1_decontamination": decontaminate.oracle(),
+    "op6_chat_formatting": chat.ORACLE,
+    "op8_url_filter": urls.ORACLE,
+    "op9_sharding": sharding.oracle(),
+}
