@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat, decontaminate, media, minhash, packing, pii, quality, sharding, urls
+from millrace.llm import chat, decontaminate, media, minhash, packing, pii, quality, sharding, suffix, urls
 from millrace.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digest_kept(suffix.repeated_strings(table(spark, sf_dir, "documents")))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(table(spark, sf_dir, "conversations"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_media_columns": op3_media_columns,
     "op4_pii": op4_pii,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_minhash": op7_minhash,
     "op8_url_filter": op8_url_filter,
