@@ -14,8 +14,10 @@ columns of the input are not read, so their names cannot clash.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,8 @@ from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, start long, length long, token_ids binary, doc_tokens long, sequence_id long, offset long"
 _ODD_SPACES = re.compile(r" \s|\s ")
-_MAX_CACHED = 250_000
+_MAX_CACHED = 400_000
+GROUP = 256
 
 
 class Encoder:
@@ -37,35 +40,43 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already fill the cores
         from tokenizers import Tokenizer
 
         self._tok = Tokenizer.from_file(path)
         self._tok.encode_special_tokens = True
-        self._known: dict[str, bytes] = {}
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if _ODD_SPACES.search(text):
-            return self._encode([text])[0]
-        head, *rest = text.split(" ")
-        cuts = [head, *[" " + x for x in rest]] if head else [" " + x for x in rest]
-        known = self._known
-        try:
-            return b"".join([known[x] for x in cuts])
-        except KeyError:
-            new = list({x for x in cuts if x not in known})
-        if len(known) + len(new) > _MAX_CACHED:
-            known.clear()
-            new = list(set(cuts))
-        known.update(zip(new, self._encode(new), strict=True))
-        out = b"".join([known[x] for x in cuts])
-        if len(known) > _MAX_CACHED:
-            known.clear()
-        return out
+    def _learn(self, cuts: set[str]) -> None:
+        """Have all cuts among the young; when these are many, they become the old, and what was old goes."""
+        if len(self._young) > _MAX_CACHED:
+            self._young, self._old = {}, self._young
+        young, old = self._young, self._old
+        new = cuts.difference(young)
+        if kept := new.intersection(old):
+            young.update((x, old[x]) for x in kept)
+            new -= kept
+        new = list(new)
+        young.update(zip(new, self._encode(new), strict=True))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        plain = [not _ODD_SPACES.search(x) for x in texts]
+        whole = iter(self._encode([x for x, ok in zip(texts, plain, strict=True) if not ok]))
+        cuts = [x.replace(" ", "\0 ").removeprefix("\0").split("\0") if "\0" not in x else [x] for x, ok in zip(texts, plain, strict=True) if ok]
+        self._learn(set().union(*cuts))
+        known = self._young.__getitem__
+        joined = (b"".join(map(known, x)) for x in cuts)
+        return [next(joined) if ok else next(whole) for ok in plain]
+
+
+@cache
+def encoder(path: str) -> Encoder:
+    """One for all tasks of a Python worker."""
+    return Encoder(path)
 
 
 class Packer:
@@ -130,7 +141,6 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window
     out = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("token_ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
         packer = Packer(window, TaskContext.get().partitionId() << 36)
         end = np.array([end_id], "<u4").tobytes()
         rows: list[tuple] = []
@@ -141,9 +151,11 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window
 
         def pieces():
             for batch in batches:
-                for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                    ids = encoder.encode(text.as_py() or "") + end
-                    yield from packer.add(doc.as_py(), ids, len(ids) // 4)
+                for at in range(0, len(batch), GROUP):
+                    part = batch.slice(at, GROUP)
+                    texts = [x or "" for x in part.column(1).to_pylist()]
+                    for doc, ids in zip(part.column(0).to_pylist(), encoder(tokenizer_path).encode(texts), strict=True):
+                        yield from packer.add(doc, ids + end, len(ids) // 4 + 1)
             yield from packer.finish()
 
         for row in pieces():
