@@ -23,11 +23,11 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or _own_dir()
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, outlives executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/millrace-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     out = spark.read.schema(df.schema).parquet(path)
     out.millrace_path = path
     return out

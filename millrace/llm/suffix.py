@@ -20,6 +20,7 @@ Empty tables give no rows; columns other than doc_id and text are not read.
 from __future__ import annotations
 
 import gc
+import time
 from functools import cache
 
 import numpy as np
@@ -108,10 +109,30 @@ def _bounds(prints: np.ndarray, parts: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(prints, edges), [len(prints)]]).astype(int)
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Rising 64-bit values as their steps, in six bytes each; larger steps are listed behind."""
+    step = np.diff(x, prepend=np.uint64(0))
+    big = np.flatnonzero(step >> np.uint64(48)).astype("<u4")
+    low = step.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    return b"".join((np.array([len(x)], "<u4").tobytes(), low.tobytes(), big.tobytes(), (step[big] >> np.uint64(48)).astype("<u2").tobytes()))
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:4], "little")
+    step = np.zeros((n, 8), np.uint8)
+    step[:, :6] = np.frombuffer(data, np.uint8, 6 * n, 4).reshape(n, 6)
+    step = step.reshape(-1).view("<u8").astype(np.uint64)
+    m = (len(data) - 4 - 6 * n) // 6
+    big = np.frombuffer(data, "<u4", m, 4 + 6 * n)
+    step[big] |= np.frombuffer(data, "<u2", m, 4 + 6 * n + 4 * m).astype(np.uint64) << np.uint64(48)
+    return np.cumsum(step, dtype=np.uint64)
+
+
 def _dealt(block: int, prints: np.ndarray, parts: int, kind: type) -> pa.Table:
     edge = _bounds(prints, parts)
+    pack = _packed if kind is np.uint64 else lambda x: x.astype(kind).tobytes()
     some = [r for r in range(parts) if edge[r] < edge[r + 1]]
-    return pa.table({"block": pa.array([block] * len(some), pa.int32()), "part": pa.array(some, pa.int32()), "data": pa.array([prints[edge[r] : edge[r + 1]].astype(kind).tobytes() for r in some], pa.binary())})
+    return pa.table({"block": pa.array([block] * len(some), pa.int32()), "part": pa.array(some, pa.int32()), "data": pa.array([pack(prints[edge[r] : edge[r + 1]]) for r in some], pa.binary())})
 
 
 def _answers(table: pa.Table, size: int) -> np.ndarray:
@@ -142,19 +163,22 @@ def _earlier(table: pa.Table) -> pa.Table:
     """Which prefix fingerprints an earlier block has too."""
     order = np.argsort(np.asarray(table.column("block")), kind="stable")
     table = table.take(pa.array(order))
-    sent = [np.frombuffer(x, np.uint64) for x in table.column("data").to_pylist()]
+    sent = [_unpacked(x) for x in table.column("data").to_pylist()]
     _, first, which = np.unique(np.concatenate(sent), return_index=True, return_inverse=True)
     return _reply(table, np.split(first[which] != np.arange(len(which)), np.cumsum([len(x) for x in sent])[:-1]))
 
 
 def _release(spark) -> None:
-    """Let Spark delete the shuffle files of finished passes."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete the shuffle files of finished passes: it does so once their plans are garbage."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
 
 
 def _laid(table: pa.Table) -> tuple[list, Block]:
     rows = sorted(zip(table.column("ord").to_pylist(), table.column("doc_id").to_pylist(), table.column("text").to_pylist(), strict=True), key=lambda r: r[0])
+    rows = [r for k, r in enumerate(rows) if not k or rows[k - 1][0] != r[0]]  # repeated rows of a document
     return [r[1] for r in rows], Block([r[2] for r in rows])
 
 
@@ -169,9 +193,11 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
     copies = ids.where(F.col("n") >= LENGTH).join(first, same, "left_anti")
     total, = ids.join(first, same, "left_semi").agg(F.coalesce(F.sum("n"), F.lit(0))).first()
     blocks = max(1, -(-total // BLOCK_BYTES))
-    once = raw.where(F.col("n") >= LENGTH).join(first, same, "left_semi").select("doc_id", "sha", "text").repartitionByRange(blocks, "doc_id", "sha").sortWithinPartitions("doc_id", "sha")
-    laid = once.select(F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("ord"), "doc_id", "text")
-    base = materialize(laid, "blocks")
+    kept = ids.join(first, same, "left_semi").select("doc_id", "sha").repartitionByRange(blocks, "doc_id", "sha").sortWithinPartitions("doc_id", "sha")
+    place = kept.select(F.col("doc_id").alias("d"), F.col("sha").alias("s"), F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("ord"))
+    here = (F.col("sha") == F.col("s")) & F.col("doc_id").eqNullSafe(F.col("d"))
+    laid = raw.where(F.col("n") >= LENGTH).join(materialize(place, "places"), here).select("block", "ord", "doc_id", "text")
+    base = materialize(laid, "blocks", "zstd")
     _release(spark)
     parts = max(1, round(total * len(COVER) / V / REDUCER_VALUES))
 
