@@ -14,8 +14,6 @@ columns of the input are not read, so their names cannot clash.
 
 from __future__ import annotations
 
-import os
-import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -26,57 +24,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, start long, length long, token_ids binary, doc_tokens long, sequence_id long, offset long"
-_ODD_SPACES = re.compile(r" \s|\s ")
-_MAX_CACHED = 400_000
-GROUP = 256
 
 
-class Encoder:
-    """Token ids as little-endian 32-bit bytes.
+def _byte_names() -> dict[str, int]:
+    """The visible character that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
-    A single space between two visible characters always starts a new piece of the
-    byte-level splitter, so texts are cut there and each different cut is encoded once;
-    texts with other runs of white space are encoded whole.
+
+@cache
+def encoder(path: str):
+    """The byte-level BPE in a ``tokenizers`` file, as ranks for a faster coder; one for all tasks of a Python worker.
+
+    In this kind of vocabulary the merges stand in order of their ids, so both give the same ids.
     """
+    import tiktoken
+    from public_tokenizers import PATTERN
+    from tokenizers import Tokenizer
 
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already fill the cores
-        from tokenizers import Tokenizer
-
-        self._tok = Tokenizer.from_file(path)
-        self._tok.encode_special_tokens = True
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, cuts: set[str]) -> None:
-        """Have all cuts among the young; when these are many, they become the old, and what was old goes."""
-        if len(self._young) > _MAX_CACHED:
-            self._young, self._old = {}, self._young
-        young, old = self._young, self._old
-        new = cuts.difference(young)
-        if kept := new.intersection(old):
-            young.update((x, old[x]) for x in kept)
-            new -= kept
-        new = list(new)
-        young.update(zip(new, self._encode(new), strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [not _ODD_SPACES.search(x) for x in texts]
-        whole = iter(self._encode([x for x, ok in zip(texts, plain, strict=True) if not ok]))
-        cuts = [x.replace(" ", "\0 ").removeprefix("\0").split("\0") if "\0" not in x else [x] for x, ok in zip(texts, plain, strict=True) if ok]
-        self._learn(set().union(*cuts))
-        known = self._young.__getitem__
-        joined = (b"".join(map(known, x)) for x in cuts)
-        return [next(joined) if ok else next(whole) for ok in plain]
+    source = Tokenizer.from_file(path)
+    added = {t.content for t in source.get_added_tokens_decoder().values()}
+    byte = _byte_names()
+    ranks = {bytes(byte[c] for c in name): i for name, i in source.get_vocab(with_added_tokens=True).items() if name not in added}
+    return tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-@cache
-def encoder(path: str) -> Encoder:
-    """One for all tasks of a Python worker."""
-    return Encoder(path)
+def token_ids(path: str, text: str) -> bytes:
+    """Ids of a text as little-endian unsigned 32-bit bytes; special names in it are ordinary text."""
+    return encoder(path).encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes() if text else b""
 
 
 class Packer:
@@ -151,11 +127,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window
 
         def pieces():
             for batch in batches:
-                for at in range(0, len(batch), GROUP):
-                    part = batch.slice(at, GROUP)
-                    texts = [x or "" for x in part.column(1).to_pylist()]
-                    for doc, ids in zip(part.column(0).to_pylist(), encoder(tokenizer_path).encode(texts), strict=True):
-                        yield from packer.add(doc, ids + end, len(ids) // 4 + 1)
+                for doc, text in zip(batch.column(0), batch.column(1), strict=True):
+                    ids = token_ids(tokenizer_path, text.as_py()) + end
+                    yield from packer.add(doc.as_py(), ids, len(ids) // 4)
             yield from packer.finish()
 
         for row in pieces():
