@@ -240,7 +240,7 @@ def brute_components(texts, words):
     return {d: (len(sets[d]), find(d)) for d in ids}
 
 
-@pytest.mark.parametrize("block", [8, 1024])
+@pytest.mark.parametrize("block", [8, 512])
 def test_near_duplicates(spark, docs, empty, monkeypatch, block):
     monkeypatch.setattr(minhash, "BLOCK", block)
     rng = np.random.default_rng(4)
