@@ -69,6 +69,7 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op1_decontamination": decontaminate.oracle(),
+    "op5_suffix_dedup": suffix.oracle(),
     "op6_chat_formatting": chat.ORACLE,
     "op7_minhash": minhash.oracle(minhash.Params(words=4)),
     "op8_url_filter": urls.ORACLE,

@@ -241,3 +241,17 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
 
 def digest_kept(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def oracle(n: int = LENGTH) -> str:
+    """The same result from all windows, for small tables."""
+    return f"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT doc_id, i, b[i : i + {n} - 1] AS x FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - {n} + 2)) AS i FROM d)),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY x ORDER BY doc_id, i) AS k FROM w),
+g AS (SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > {n}, true) AS fresh FROM f WHERE k > 1),
+h AS (SELECT doc_id, i, sum(fresh::INTEGER) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g),
+r AS (SELECT doc_id, min(i) AS s, max(i) + {n} - 1 AS e FROM h GROUP BY doc_id, run),
+t AS (SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS prior FROM r UNION ALL SELECT doc_id, octet_length(b) + 1, NULL, (SELECT coalesce(max(e), 0) FROM r WHERE r.doc_id = d.doc_id) FROM d),
+c AS (SELECT t.doc_id, list_reduce(list(b[prior + 1 : s - 1] ORDER BY s), lambda x, y: x || y) AS kept, count(e) AS n_spans FROM t JOIN d USING (doc_id) GROUP BY t.doc_id)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(octet_length(b) - octet_length(kept) AS BIGINT) AS n_removed, n_spans, sha256(kept) AS kept_sha256 FROM c JOIN d USING (doc_id)"""
