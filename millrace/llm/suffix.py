@@ -25,6 +25,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,8 @@ V, COVER = 73, (0, 1, 3, 7, 15, 31, 36, 54, 63)
 TUPLE = LENGTH - V + 1
 BLOCK_BYTES = 2 << 20
 REDUCER_VALUES = 1 << 20
+# Documents are ordered by range first; the driver samples for at most so many ranges.
+RANGE_BYTES, MOST_RANGES = 32 << 20, 2000
 
 
 @cache
@@ -132,7 +135,7 @@ def _dealt(block: int, prints: np.ndarray, parts: int, kind: type) -> pa.Table:
     edge = _bounds(prints, parts)
     pack = _packed if kind is np.uint64 else lambda x: x.astype(kind).tobytes()
     some = [r for r in range(parts) if edge[r] < edge[r + 1]]
-    return pa.table({"block": pa.array([block] * len(some), pa.int32()), "part": pa.array(some, pa.int32()), "data": pa.array([pack(prints[edge[r] : edge[r + 1]]) for r in some], pa.binary())})
+    return pa.table({"block": pa.array([block] * len(some), pa.int64()), "part": pa.array(some, pa.int32()), "data": pa.array([pack(prints[edge[r] : edge[r + 1]]) for r in some], pa.binary())})
 
 
 def _answers(table: pa.Table, size: int) -> np.ndarray:
@@ -149,7 +152,7 @@ def _reply(table: pa.Table, bits: list[np.ndarray]) -> pa.Table:
     return pa.table({"block": table.column("block"), "part": table.column("part"), "n": pa.array([len(b) for b in bits], pa.int32()), "data": pa.array([np.packbits(b).tobytes() for b in bits], pa.binary())})
 
 
-_SENT, _REPLY = "block int, part int, data binary", "block int, part int, n int, data binary"
+_SENT, _REPLY = "block long, part int, data binary", "block long, part int, n int, data binary"
 
 
 def _twice(table: pa.Table) -> pa.Table:
@@ -192,9 +195,18 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
     same = (F.col("sha") == F.col("s")) & F.col("doc_id").eqNullSafe(F.col("d"))
     copies = ids.where(F.col("n") >= LENGTH).join(first, same, "left_anti")
     total, = ids.join(first, same, "left_semi").agg(F.coalesce(F.sum("n"), F.lit(0))).first()
-    blocks = max(1, -(-total // BLOCK_BYTES))
-    kept = ids.join(first, same, "left_semi").select("doc_id", "sha").repartitionByRange(blocks, "doc_id", "sha").sortWithinPartitions("doc_id", "sha")
-    place = kept.select(F.col("doc_id").alias("d"), F.col("sha").alias("s"), F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("ord"))
+    ranges = min(MOST_RANGES, max(1, total // RANGE_BYTES))
+    kept = ids.join(first, same, "left_semi").select("doc_id", "sha", "n").repartitionByRange(ranges, "doc_id", "sha").sortWithinPartitions("doc_id", "sha")
+
+    def numbered(batches):
+        part, before, k = TaskContext.get().partitionId(), 0, 0
+        for batch in batches:
+            done = before + np.cumsum(np.asarray(batch.column(2)))
+            block = (part << 32) + (done - 1) // BLOCK_BYTES
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(block), pa.array((part << 40) + k + np.arange(len(batch)))], ["d", "s", "block", "ord"])
+            before, k = (int(done[-1]) if len(batch) else before), k + len(batch)
+
+    place = kept.mapInArrow(numbered, "d long, s string, block long, ord long")
     here = (F.col("sha") == F.col("s")) & F.col("doc_id").eqNullSafe(F.col("d"))
     laid = raw.where(F.col("n") >= LENGTH).join(materialize(place, "places"), here).select("block", "ord", "doc_id", "text")
     base = materialize(laid, "blocks", "zstd")

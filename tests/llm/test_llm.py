@@ -195,6 +195,7 @@ def cut(texts, n=100):
 def test_repeated_strings(spark, docs, empty, monkeypatch):
     monkeypatch.setattr(suffix, "BLOCK_BYTES", 700)
     monkeypatch.setattr(suffix, "REDUCER_VALUES", 300)
+    monkeypatch.setattr(suffix, "RANGE_BYTES", 5000)
     rng = np.random.default_rng(3)
     piece = ["".join(rng.choice(list("ab "), 150)) for _ in range(4)]
     texts = [(i, "".join(rng.choice(piece)[int(rng.integers(0, 60)) :] + "#" * int(rng.integers(0, 3)) for _ in range(3))) for i in range(40)] + [(100, "x" * 1000), (101, "é" * 80), (102, None), (103, "x" * 99), (104, texts_100())]
