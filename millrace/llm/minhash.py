@@ -270,11 +270,11 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:  # noqa
     member = member.join(size, "bucket").join(nodes.select("id", "n_shingles"), "id")
     member = materialize(member.select("bucket", "id", "centre", F.col("n_shingles").alias("size")), "buckets")
     met = member.select(F.col("id").alias("doc_id")).distinct()
-    texts = materialize(_read(docs).join(met, "doc_id", "left_semi"), "texts").dropDuplicates(["doc_id"])
+    texts = materialize(_read(docs).join(met, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
     links = None
     labels = docs.sparkSession.createDataFrame([], "id long, component long")
     pairs = member.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    for turn in ("centre", "best", "best", "all"):
+    for turn in ("centre", "best", "all"):
         if turn != "centre":
             labelled = member.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
             mixed = labelled.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket", "n")
