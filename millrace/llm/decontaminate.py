@@ -5,25 +5,33 @@ hash of the words that a mask keeps is taken, for every mask, so that a substitu
 under a gap still hits. Hits with test items give diagonals (document position less item
 position); on each diagonal whole item and document are compared, and a pair counts if some
 window of ``window`` words (of the whole item where that is shorter) has at least
-``percent`` of its words equal.
+``percent`` of its words equal. The masks for each window length are chosen so that every
+placement of the words that may differ leaves one of them whole: no pair that counts is lost.
+Masks begin and end with a kept word, so words beyond a document's ends count as differing.
 
 The item seeds are broadcast in blocks of at most ``BLOCK_SEEDS`` rows; more blocks mean more
 passes. Hits are reduced to different diagonals in each task before they are shuffled, and
 only documents with hits are read again.
 
-Defined results: null or short texts (under the masks' span) and null ids give no pairs.
+Defined results: null and empty texts and null ids give no pairs. Items of any length count.
 Repeated rows give one pair; of several texts with one doc_id the best counts. Empty tables give
 no pairs. Only the two id columns and ``text`` are read, whatever else there is.
 """
 
 from __future__ import annotations
 
+from functools import cache
+from itertools import combinations
+from math import comb
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import materialize
 
-# Seed masks; 1 keeps a word, 0 ignores it.
+# Most words that a mask keeps, most masks of a window length, most work to enumerate them.
+WEIGHT, FAMILY, ENUMERATED = 6, 6, 1_000_000
+# The masks of the SQL below, which finds less than overlaps(); 1 keeps a word, 0 ignores it.
 MASKS = ("11101011", "11010111", "10111101")
 SPAN = 8
 MARKS = ".,;:!?\"'()[]{}|\n\t\r\v\f"
@@ -34,23 +42,60 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(F.lower(F.coalesce(text, F.lit(""))), MARKS, " " * len(MARKS)), " "), "")
 
 
-def _seeds(df: DataFrame, key: str) -> DataFrame:
-    """(key, at, seed): hashes under each mask at every position that has a whole span."""
+@cache
+def masks(wide: int, differ: int) -> tuple[tuple[int, ...], ...]:
+    """Kept offsets of each mask: in ``wide`` words, any ``differ`` of them leave one mask whole somewhere."""
+    for weight in range(min(WEIGHT, wide - differ), 1, -1):
+        if comb(wide, differ) * comb(wide - 1, weight - 1) > ENUMERATED:
+            continue
+        places = [set(x) for x in combinations(range(wide), differ)]
+        whole = {}
+        for mask in ((0, *x) for x in combinations(range(1, wide), weight - 1)):
+            whole[mask] = {n for n, x in enumerate(places) if any(x.isdisjoint(p + o for o in mask) for p in range(wide - mask[-1]))}
+        left, chosen = set(range(len(places))), []
+        while left and len(chosen) <= FAMILY:
+            best = max(whole, key=lambda m: (len(whole[m] & left), -m[-1]))
+            if not whole[best] & left:
+                break
+            chosen.append(best)
+            left -= whole[best]
+        if not left and len(chosen) <= FAMILY:
+            return tuple(chosen)
+    return (tuple(range(wide // (differ + 1))),)
+
+
+def _families(widths, percent: int) -> list[tuple[int, int, tuple[int, ...]]]:
+    """(width, number, mask) for windows of the given widths."""
+    return [(n, m, mask) for n in sorted(widths) for m, mask in enumerate(masks(n, n - -(-percent * n // 100)))]
+
+
+def _seeds(df: DataFrame, key: str, window: int = 12, percent: int = 80, widths: list[int] | None = None) -> DataFrame:
+    """(key, at, seed): hashes under each mask at every position that has its whole span.
+
+    ``widths`` are the window widths looked for; without them each row gives seeds of its own width only.
+    """
+    families = _families(widths or range(1, window + 1), percent)
+    span = max(mask[-1] for _, _, mask in families) + 1
     hashed = df.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key), F.transform(words(F.col("text")), lambda x: F.xxhash64(x)).alias("h"))
-    ahead = F.arrays_zip(*[(F.col("h") if i == 0 else F.slice("h", i + 1, F.greatest(F.size("h"), F.lit(1)))).alias(f"w{i}") for i in range(SPAN)])
-    spans = hashed.select(key, F.posexplode(ahead).alias("at", "w")).where(F.col(f"w.w{SPAN - 1}").isNotNull())
-    masked = F.array(*[F.xxhash64(F.lit(m), *[F.col(f"w.w{i}") for i in range(SPAN) if mask[i] == "1"]) for m, mask in enumerate(MASKS)])
-    return spans.select(key, "at", F.explode(masked).alias("seed"))
+    ahead = F.arrays_zip(*[(F.col("h") if i == 0 else F.slice("h", i + 1, F.greatest(F.size("h"), F.lit(1)))).alias(f"w{i}") for i in range(span)])
+    spans = hashed.select(key, F.least(F.size("h"), F.lit(window)).alias("wide"), F.posexplode(ahead).alias("at", "w"))
+    masked = []
+    for n, m, mask in families:
+        fits = F.col(f"w.w{mask[-1]}").isNotNull()
+        masked.append(F.when(fits if widths else fits & (F.col("wide") == n), F.xxhash64(F.lit(n), F.lit(m), *[F.col(f"w.w{i}") for i in mask])))
+    return spans.select(key, "at", F.explode(F.array(*masked)).alias("seed")).where("seed is not null")
 
 
 def overlaps(docs: DataFrame, items: DataFrame, window: int = 12, percent: int = 80) -> DataFrame:
     """doc_id, item_id, item_words, equal_words (most on one diagonal) and best_window of each pair that overlaps."""
-    seeds = materialize(_seeds(items, "item_id").select("item_id", F.col("at").alias("item_at"), "seed").distinct(), "seeds")
+    seeds = materialize(_seeds(items, "item_id", window, percent).select("item_id", F.col("at").alias("item_at"), "seed").distinct(), "seeds")
+    sizes = items.where("item_id is not null").select(F.least(F.size(words(F.col("text"))), F.lit(window)).alias("wide")).distinct()
+    widths = [r.wide for r in sizes.collect() if r.wide] or [window]
     blocks = max(1, -(-seeds.count() // BLOCK_SEEDS))
     hits = None
     for k in range(blocks):
         block = F.broadcast(seeds.where(F.pmod("seed", F.lit(blocks)) == k))
-        part = _seeds(docs, "doc_id").join(block, "seed").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
+        part = _seeds(docs, "doc_id", window, percent, widths).join(block, "seed").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
         hits = part if hits is None else hits.unionAll(part)
     hits = materialize(hits.distinct(), "hits")
     hit_docs = hits.select("doc_id").distinct()

@@ -1,6 +1,7 @@
 """Operators of the training-data package against brute force, with nulls, empty and long texts, ties, repeats and clashing columns."""
 
 import hashlib
+import itertools
 import json
 import re
 import zlib
@@ -300,6 +301,47 @@ def test_decontamination(spark, docs, empty, monkeypatch):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def brute_overlaps(texts, items, window=12, percent=80):
+    """All diagonals of all pairs, without seeds."""
+    out = {}
+    for d, text in texts:
+        for i, item in items:
+            w, g = text.split(), item.split()
+            n = min(window, len(g))
+            for shift in range(-len(g), len(w)):
+                same = [0 <= shift + q < len(w) and w[shift + q] == x for q, x in enumerate(g)]
+                best = max(sum(same[s : s + n]) for s in range(len(g) - n + 1))
+                if 100 * best >= percent * n:
+                    old = out.get((d, i), (0, 0, 0))
+                    out[d, i] = (len(g), max(old[1], sum(same)), max(old[2], best))
+    return out
+
+
+def test_masks_leave_no_placement_out():
+    for window in range(1, 15):
+        for percent in (50, 80, 100):
+            differ = window - -(-percent * window // 100)
+            for lost in itertools.combinations(range(window), differ):
+                assert any(not {p + x for x in m} & set(lost) for m in decontaminate.masks(window, differ) for p in range(window - m[-1])), (window, differ, lost)
+
+
+def test_decontamination_finds_what_brute_force_finds(spark):
+    rng = np.random.default_rng(11)
+    items = [(m, " ".join(f"i{m}w{q}" for q in range(m))) for m in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 16, 30)]
+    texts = []
+    for m, item in items:
+        for lost in itertools.combinations(range(min(m, 12)), 2 if m > 4 else 1):
+            words = item.split()
+            for x in lost:
+                words[x] = "other"
+            texts.append(" ".join(["lead", *words, "end"] if rng.random() < 0.5 else words))
+        texts += [item, "lead " + item, " ".join(item.split()[1:]), " ".join(item.split()[:-1]), " ".join("other" if q % 8 in (3, 4) else x for q, x in enumerate(item.split()))]
+        texts += [" ".join("other" if rng.random() < 0.2 else x for x in item.split()) for _ in range(10)]
+    texts = list(enumerate(texts))
+    got = decontaminate.overlaps(docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]): (r["item_words"], r["equal_words"], r["best_window"]) for r in got} == brute_overlaps(texts, items)
+
+
 def test_chat(spark, monkeypatch):
     t = lambda c, *turns: [(c, i, "user" if i % 2 == 0 else "assistant", x) for i, x in enumerate(turns)]
     rows = [*t(1, "hi"), *t(2, "hi", "yo"), *t(3, "hi", "yo", "bye"), *t(4, "hi", "no"), *t(5, "hi", "no"), *t(6, "alone"), *t(7, *[f"m{i}" for i in range(30)]), *t(8, *[f"m{i}" for i in range(20)])]
