@@ -1,12 +1,16 @@
 """Personal data: pattern spans, and terms that corpus co-occurrence shows to reveal them.
 
 Base kinds are found by pattern. A term (a run of three or more letters, lower-cased) that
-stands near a protected entity is weighed over the whole corpus: with ``n_te`` documents
-where it stands near the entity, ``n_t`` documents that hold it anywhere, ``n_e`` that hold
-the entity and ``n`` in all, it tells ``log2(n_te * n / (n_t * n_e))`` bits about it with
-confidence ``n_te / n_t``. Terms seen near the same entity in ``min_support`` different
-surroundings (copies of one text count once), with enough confidence and bits, are marked
-everywhere: generalised from ``min_bits``, removed from ``remove_bits``.
+stands near a protected entity is weighed over the whole corpus: with ``n_te`` different
+texts where it stands near the entity, ``n_t`` that hold it anywhere, ``n_e`` that hold the
+entity and ``n`` in all, its confidence is ``n_te / n_t`` and it tells
+``log2(n_te * n / (n_t * n_e))`` of the ``log2(n / n_e)`` bits that there are to tell about
+the entity. Copies of one text count once. Terms with enough support (``n_te``), confidence and
+share of the bits are marked everywhere: generalised from ``min_share``, removed from
+``remove_share``, where nothing is left to tell. An entity that many texts hold meets many terms by chance, so
+the evidence (``n_t`` times the divergence of confidence from ``n_e / n``, in bits) must reach
+``min_evidence``: 15 bits is the least that 3 texts, 6 bits and a confidence of a half come to. An
+entity in all texts has nothing to tell. The column ``bits`` is over rows, copies included.
 
 Term sets reach the executors in blocks of at most ``BLOCK_TERMS``, so what is broadcast has a
 bound; each further block is one more pass. Defined results: a null text counts as empty and
@@ -19,9 +23,10 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -32,6 +37,8 @@ from millrace.llm.common import materialize
 KINDS = ("email", "ip", "card", "phone", "term")
 BLOCK_TERMS = 200_000
 REACH = 80
+#: Size of the bitmaps of hashes, and of the tables of counts that a task holds.
+SLOTS, HELD = 1 << 22, 200_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -46,8 +53,9 @@ _TERM = re.compile(r"[^\W\d_]{3,}")
 class Thresholds:
     min_support: int = 3
     min_confidence: float = 0.5
-    min_bits: float = 6.0
-    remove_bits: float = 10.0
+    min_share: float = 0.5
+    remove_share: float = 1.0
+    min_evidence: float = 15.0
 
 
 def _luhn(digits: str) -> bool:
@@ -88,16 +96,23 @@ def _hash(value: str) -> int:
     return xxhash.xxh3_64_intdigest(value.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def near_terms(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, set[str]]]:
-    """(entity, surroundings, terms) of each span; text inside spans gives no terms."""
+def _entity(text: str, span: tuple[int, int, int]) -> int:
+    return _hash(f"{KINDS[span[1]]}:{text[span[0] : span[2]].lower()}")
+
+
+def entity_terms(text: str, wanted: frozenset[int]) -> set[tuple[int, str]]:
+    """(entity, term) of the wanted entities; text inside spans gives no terms."""
+    spans = base_spans(text)
     hidden = list(text)
     for s, _, e in spans:
         hidden[s:e] = " " * (e - s)
     masked = "".join(hidden)
-    for s, k, e in spans:
-        low, high = max(0, s - REACH), min(len(text), e + REACH)
-        found = [m[0].lower() for m in _TERM.finditer(masked, low, high) if not (m.start() == low > 0 and masked[low - 1].isalpha()) and not (m.end() == high < len(text) and masked[high].isalpha())]
-        yield _hash(f"{KINDS[k]}:{text[s:e].lower()}"), _hash(" ".join(found)), set(found)
+    out = set()
+    for span in spans:
+        if (entity := _entity(text, span)) in wanted:
+            low, high = max(0, span[0] - REACH), min(len(text), span[2] + REACH)
+            out |= {(entity, m[0].lower()) for m in _TERM.finditer(masked, low, high) if not (m.start() == low > 0 and masked[low - 1].isalpha()) and not (m.end() == high < len(text) and masked[high].isalpha())}
+    return out
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -108,69 +123,109 @@ def _frame(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-def entity_terms(docs: DataFrame) -> DataFrame:
-    """Each entity occurrence with the terms near it."""
-    schema = pa.schema([("doc_id", pa.int64()), ("entity", pa.int64()), ("around", pa.int64()), ("terms", pa.list_(pa.string()))])
+def _blocks(terms: DataFrame, key: str = "term") -> Iterator[list]:
+    """The rows in blocks; terms are dealt by hash, so each block is near BLOCK_TERMS at most."""
+    n = -(-terms.count() // BLOCK_TERMS)
+    for k in range(n):
+        yield terms.where(F.pmod(F.xxhash64(key), F.lit(n)) == k).collect()
 
-    def run(batches):
-        for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                text = text.as_py()
-                if spans := base_spans(text):
-                    rows += [(doc.as_py(), e, w, sorted(t)) for e, w, t in near_terms(text, spans)]
-            if rows:
-                yield _frame(rows, schema)
 
-    return _texts(docs).mapInArrow(run, "doc_id long, entity long, around long, terms array<string>")
+def _bitmap(hashes: DataFrame) -> bytes:
+    """A bit for each slot that one of the hashes falls into."""
+    bits = np.zeros(SLOTS, dtype=bool)
+    bits[[r[0] for r in hashes.select(F.pmod(F.col("copy"), F.lit(SLOTS))).distinct().collect()]] = True
+    return np.packbits(bits, bitorder="little").tobytes()
 
 
-def _blocks(terms: DataFrame) -> Iterator[list]:
-    """The rows in blocks; terms are dealt by hash, so each block is near BLOCK_TERMS at most."""
-    n = -(-terms.count() // BLOCK_TERMS)
-    for k in range(n):
-        yield terms.where(F.pmod(F.xxhash64("term"), F.lit(n)) == k).collect()
+def _marked(bitmap: bytes, copy: int) -> int:
+    return bitmap[copy % SLOTS >> 3] >> (copy % 8) & 1
 
 
-def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(term, n_t): how many documents hold each of the terms. Counts are summed in each task first."""
-    schema = pa.schema([("term", pa.string()), ("n_t", pa.int64())])
-    parts = []
-    for block in _blocks(terms):
-        wanted = docs.sparkSession.sparkContext.broadcast(frozenset(r.term for r in block))
+def _tally(docs: DataFrame, repeated: bytes, find: Callable[[str, int], Iterable[tuple]], keys: str, most: Callable[[tuple], float] | None = None) -> DataFrame:
+    """The keys with ``copy``, ``texts`` and ``rows``: how many different texts and rows ``find`` sees each key in.
+
+    Counts are summed in each task; a text that may have copies (its slot is in ``repeated``) keeps its hash
+    in ``copy``, so that the same text of other tasks is not counted again. A key that one task meets in more
+    different texts than ``most`` is only known to be above it.
+    """
+    frame = docs.sparkSession.createDataFrame([], f"{keys}, copy long, rows long")
+    schema = pa.schema([(f.name, pa.string() if f.dataType.simpleString() == "string" else pa.int64()) for f in frame.schema])
+    sent = docs.sparkSession.sparkContext.broadcast(repeated)
+
+    def run(batches):
+        single: Counter = Counter()
+        copies: dict[int, list] = {}
+        for batch in batches:
+            for text, copy in zip(batch.column(0), batch.column(1), strict=True):
+                copy = copy.as_py()
+                if not _marked(sent.value, copy):
+                    single.update(find(text.as_py(), copy))
+                elif copy in copies:
+                    copies[copy][1] += 1
+                else:
+                    copies[copy] = [find(text.as_py(), copy), 1]
+                if len(single) > HELD:
+                    yield _frame([(*k, None, v) for k, v in single.items()], schema)
+                    single.clear()
+        over = set()
+        if most:
+            met = single + Counter(k for found, _ in copies.values() for k in found)
+            over = {k for k, v in met.items() if v > most(k)}
+            single.update({k: met[k] - single[k] for k in over})
+        if single:
+            yield _frame([(*k, None, v) for k, v in single.items()], schema)
+        for copy, (found, n) in copies.items():
+            if rows := [(*k, copy, n) for k in found if k not in over]:
+                yield _frame(rows, schema)
+
+    hashed = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("copy", F.xxhash64("text"))
+    found = hashed.mapInArrow(run, frame.schema).groupBy(*frame.columns[:-1]).agg(F.sum("rows").alias("rows"))
+    return found.withColumn("texts", F.when(F.col("copy").isNull(), F.col("rows")).otherwise(F.lit(1)))
 
-        def run(batches, wanted=wanted):
-            count: Counter = Counter()
-            for batch in batches:
-                for text in batch.column(1):
-                    count.update(wanted.value.intersection(map(str.lower, _TERM.findall(text.as_py()))))
-            if count:
-                yield _frame(list(count.items()), schema)
 
-        parts.append(_texts(docs).mapInArrow(run, "term string, n_t long"))
-    out = docs.sparkSession.createDataFrame([], "term string, n_t long")
-    for p in parts:
-        out = out.unionAll(p)
-    return out.groupBy("term").agg(F.sum("n_t").alias("n_t"))
+def _summed(tally: DataFrame, key: list[str], name: str) -> DataFrame:
+    return tally.groupBy(*key).agg(F.sum("texts").alias(name), F.sum("rows").alias(f"{name}_rows"))
 
 
 def revealing_terms(docs: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:  # noqa: B008
-    """(term, bits, confidence) of the terms that disclose an entity."""
-    near = materialize(entity_terms(docs), "near")
-    one = near.select("doc_id", "entity", "around", F.explode("terms").alias("term")).distinct()
-    support = one.select("entity", "term", "around").distinct().groupBy("entity", "term").agg(F.count("*").alias("support"))
-    pairs = support.where(F.col("support") >= limits.min_support)
-    held = one.select("entity", "term", "doc_id").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te"))
-    pairs = materialize(pairs.join(held, ["entity", "term"]), "pairs")
-    if pairs.isEmpty():
-        return docs.sparkSession.createDataFrame([], "term string, bits double, confidence double")
-    n_e = near.select("entity", "doc_id").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    n_t = document_counts(docs, pairs.select("term").distinct())
-    n = docs.count()
-    bits = F.log2(F.col("n_te") * F.lit(float(n)) / (F.col("n_t") * F.col("n_e")))
-    weighed = pairs.join(n_t, "term").join(n_e, "entity").select("term", bits.alias("bits"), (F.col("n_te") / F.col("n_t")).alias("confidence"))
-    told = weighed.where((F.col("confidence") >= limits.min_confidence) & (F.col("bits") >= limits.min_bits))
-    return materialize(told.groupBy("term").agg(F.max("bits").alias("bits"), F.max("confidence").alias("confidence")), "revealing")
+    """(term, bits, confidence, share) of the terms that disclose an entity."""
+    none = docs.sparkSession.createDataFrame([], "term string, bits double, confidence double, share double")
+    context = docs.sparkSession.sparkContext
+    copies = materialize(_texts(docs).groupBy(F.xxhash64("text").alias("copy")).count(), "copies")
+    n, rows = copies.agg(F.count("*"), F.sum("count")).first()
+    repeated = _bitmap(copies.where("count > 1"))
+    # Here every text is marked, as the texts of the entities are wanted too.
+    held = materialize(_tally(docs, b"\xff" * (SLOTS // 8), lambda text, _: {(_entity(text, s),) for s in base_spans(text)}, "entity long"), "held")
+    entities = materialize(_summed(held, ["entity"], "n_e").where((F.col("n_e") >= limits.min_support) & (F.col("n_e") < n)), "entities")
+    pairs = None
+    for block in _blocks(entities.select("entity"), "entity"):
+        wanted = context.broadcast(frozenset(r.entity for r in block))
+        holding = context.broadcast(_bitmap(held.join(entities, "entity", "left_semi")))
+        part = _tally(docs, repeated, lambda text, copy, wanted=wanted, holding=holding: entity_terms(text, wanted.value) if _marked(holding.value, copy) else (), "entity long, term string")
+        pairs = part if pairs is None else pairs.unionAll(part)
+    if pairs is None:
+        return none
+    pairs = materialize(_summed(pairs, ["entity", "term"], "n_te").where(F.col("n_te") >= limits.min_support), "pairs")
+    n_t = None
+    for block in _blocks(pairs.groupBy("term").agg(F.max("n_te").alias("n_te"))):
+        # Above n_te / min_confidence texts a term is not sure enough of any entity.
+        wanted = context.broadcast({r.term: r.n_te / limits.min_confidence for r in block})
+        part = _tally(docs, repeated, lambda text, _, wanted=wanted: [(t,) for t in wanted.value.keys() & set(map(str.lower, _TERM.findall(text)))], "term string", lambda k, wanted=wanted: wanted.value[k[0]])
+        n_t = part if n_t is None else n_t.unionAll(part)
+    if n_t is None:
+        return none
+    weighed = pairs.join(_summed(n_t, ["term"], "n_t"), "term").join(entities, "entity")
+    sure, base = F.col("n_te") / F.col("n_t"), F.col("n_e") / F.lit(float(n))
+    beside = F.when(sure < 1, (F.col("n_t") - F.col("n_te")) * F.log2((1 - sure) / (1 - base))).otherwise(0.0)
+    weighed = weighed.select(
+        "term",
+        F.log2(F.col("n_te_rows") * F.lit(float(rows)) / (F.col("n_t_rows") * F.col("n_e_rows"))).alias("bits"),
+        sure.alias("confidence"),
+        (1 - F.log2(sure) / F.log2(base)).alias("share"),
+        (F.col("n_te") * F.log2(sure / base) + beside).alias("evidence"),
+    )
+    told = weighed.where((F.col("confidence") >= limits.min_confidence) & (F.col("share") >= limits.min_share) & (F.col("evidence") >= limits.min_evidence))
+    return materialize(told.groupBy("term").agg(*[F.max(c).alias(c) for c in ("bits", "confidence", "share")]), "revealing")
 
 
 def term_spans(text: str, terms) -> list[tuple[int, int, int]]:
@@ -199,11 +254,11 @@ def annotate(docs: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:
     return _texts(docs).mapInArrow(run, "doc_id long, spans array<struct<kind:string,start:long,end:long>>")
 
 
-def replace_spans(text: str, spans: list[tuple[int, int, int]], bits: dict[str, float], limits: Thresholds) -> str:
+def replace_spans(text: str, spans: list[tuple[int, int, int]], shares: dict[str, float], limits: Thresholds) -> str:
     out, at = [], 0
     for s, k, e in sorted(spans):
         if s >= at:
-            gone = k == 4 and bits[text[s:e].lower()] >= limits.remove_bits
+            gone = k == 4 and shares[text[s:e].lower()] >= limits.remove_share
             out += [text[at:s], "" if gone else f"[{KINDS[k].upper()}]"]
         at = max(at, e)
     return "".join([*out, text[at:]])
@@ -212,18 +267,18 @@ def replace_spans(text: str, spans: list[tuple[int, int, int]], bits: dict[str,
 def sanitize(docs: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:  # noqa: B008
     """``docs`` with ``text`` made safe: base spans become [KIND], revealing terms [TERM] or nothing."""
     out = docs
-    blocks = [{r.term: r.bits for r in b} for b in _blocks(revealing_terms(docs, limits))] or [{}]
+    blocks = [{r.term: r.share for r in b} for b in _blocks(revealing_terms(docs, limits))] or [{}]
     at = docs.columns.index("text")
     for block in blocks:
-        bits = docs.sparkSession.sparkContext.broadcast(block)
+        shares = docs.sparkSession.sparkContext.broadcast(block)
 
-        def run(batches, bits=bits):
+        def run(batches, shares=shares):
             for batch in batches:
                 new = []
                 for text in batch.column(at):
                     text = text.as_py()
-                    spans = text and base_spans(text) + (term_spans(text, bits.value) if bits.value else [])
-                    new.append(replace_spans(text, spans, bits.value, limits) if spans else text)
+                    spans = text and base_spans(text) + (term_spans(text, shares.value) if shares.value else [])
+                    new.append(replace_spans(text, spans, shares.value, limits) if spans else text)
                 yield batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
 
         out = out.mapInArrow(run, docs.schema)

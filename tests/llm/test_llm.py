@@ -179,6 +179,23 @@ def test_terms_that_reveal_an_entity(spark):
     assert {r["doc_id"]: r["text"] for r in pii.sanitize(df).collect()}[900] == "the [TERM] slept"
 
 
+def test_terms_of_an_entity_in_many_texts(spark):
+    """An entity in a third of all texts has 1.58 bits, whatever the table's size; copies count once."""
+    held = [(i, f"number {i} the Zanzibarian captain wrote from sea@ship.example") for i in range(30)]
+    plain = [(100 + i, f"the note wrote again from here number {i}") for i in range(60)]
+    alone = [(200, "the Zanzibarian slept")]
+    chance = [(300 + i, f"number {i} the rareword wrote from sea@ship.example today") for i in range(3)]
+    copies = [(1000 + i, "the only copy of sea@ship.example and the captain") for i in range(500)]
+    df = docs_of(spark, [*held, *plain, *alone, *chance, *copies])
+    terms = {r["term"]: r for r in pii.revealing_terms(df).collect()}
+    assert set(terms) == {"zanzibarian", "captain"}
+    n, n_e = 30 + 60 + 1 + 3 + 1, 30 + 3 + 1
+    assert terms["zanzibarian"]["confidence"] == pytest.approx(30 / 31)
+    assert terms["zanzibarian"]["share"] == pytest.approx(np.log2(30 / 31 * n / n_e) / np.log2(n / n_e)) and terms["captain"]["share"] == 1
+    safe = {r["doc_id"]: r["text"] for r in pii.sanitize(df).collect()}
+    assert safe[200] == "the [TERM] slept" and safe[1000] == "the only copy of [EMAIL] and the "
+
+
 def cut(texts, n=100):
     """What is left when every byte of an n-byte string that starts earlier goes."""
     seen, out = set(), {}
