@@ -1,12 +1,13 @@
 """Personal data: pattern spans, and terms that corpus co-occurrence shows to reveal them.
 
 Base kinds are found by pattern. A term (a run of three or more letters, lower-cased) that
-stands near a protected entity is weighed over the whole corpus: with ``n_te`` different
-texts where it stands near the entity, ``n_t`` that hold it anywhere, ``n_e`` that hold the
+shares a text with a protected entity is weighed over the whole corpus: with ``n_te`` different
+texts that hold both, ``n_t`` that hold the term, ``n_e`` that hold the
 entity and ``n`` in all, its confidence is ``n_te / n_t`` and it tells
 ``log2(n_te * n / (n_t * n_e))`` of the ``log2(n / n_e)`` bits that there are to tell about
 the entity. Copies of one text count once. Terms with enough support (``n_te``), confidence and
-share of the bits are marked everywhere: generalised from ``min_share``, removed from
+share of the bits are marked everywhere (one text alone cannot tell a term of the entity from any other rare
+word in it, so the least support is 2): generalised from ``min_share``, removed from
 ``remove_share``, where nothing is left to tell. An entity that many texts hold meets many terms by chance, so
 the evidence (``n_t`` times the divergence of confidence from ``n_e / n``, in bits) must reach
 ``min_evidence``: 15 bits is the least that 3 texts, 6 bits and a confidence of a half come to. An
@@ -36,7 +37,6 @@ from millrace.llm.common import materialize
 
 KINDS = ("email", "ip", "card", "phone", "term")
 BLOCK_TERMS = 200_000
-REACH = 80
 #: Size of the bitmaps of hashes, and of the tables of counts that a task holds.
 SLOTS, HELD = 1 << 22, 200_000
 
@@ -51,7 +51,7 @@ _TERM = re.compile(r"[^\W\d_]{3,}")
 
 @dataclass(frozen=True)
 class Thresholds:
-    min_support: int = 3
+    min_support: int = 2
     min_confidence: float = 0.5
     min_share: float = 0.5
     remove_share: float = 1.0
@@ -103,16 +103,14 @@ def _entity(text: str, span: tuple[int, int, int]) -> int:
 def entity_terms(text: str, wanted: frozenset[int]) -> set[tuple[int, str]]:
     """(entity, term) of the wanted entities; text inside spans gives no terms."""
     spans = base_spans(text)
+    near = {e for s in spans if (e := _entity(text, s)) in wanted}
+    if not near:
+        return set()
     hidden = list(text)
     for s, _, e in spans:
         hidden[s:e] = " " * (e - s)
-    masked = "".join(hidden)
-    out = set()
-    for span in spans:
-        if (entity := _entity(text, span)) in wanted:
-            low, high = max(0, span[0] - REACH), min(len(text), span[2] + REACH)
-            out |= {(entity, m[0].lower()) for m in _TERM.finditer(masked, low, high) if not (m.start() == low > 0 and masked[low - 1].isalpha()) and not (m.end() == high < len(text) and masked[high].isalpha())}
-    return out
+    terms = set(map(str.lower, _TERM.findall("".join(hidden))))
+    return {(e, t) for e in near for t in terms}
 
 
 def _texts(docs: DataFrame) -> DataFrame:

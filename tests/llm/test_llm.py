@@ -196,6 +196,15 @@ def test_terms_of_an_entity_in_many_texts(spark):
     assert safe[200] == "the [TERM] slept" and safe[1000] == "the only copy of [EMAIL] and the "
 
 
+def test_terms_far_from_a_rare_entity(spark):
+    """Two texts are enough, and the distance within them does not matter."""
+    far = " and so on with the usual words" * 20
+    held = [(i, f"Zanzibarian news {far} sea@ship.example number {'one two'.split()[i]}") for i in range(2)]
+    plain = [(100 + i, f"usual news and so on with the words number one two {i}") for i in range(1000)]
+    terms = {r["term"] for r in pii.revealing_terms(docs_of(spark, [*held, *plain])).collect()}
+    assert terms == {"zanzibarian"}
+
+
 def cut(texts, n=100):
     """What is left when every byte of an n-byte string that starts earlier goes."""
     seen, out = set(), {}
