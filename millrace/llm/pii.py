@@ -100,8 +100,8 @@ def _entity(text: str, span: tuple[int, int, int]) -> int:
     return _hash(f"{KINDS[span[1]]}:{text[span[0] : span[2]].lower()}")
 
 
-def entity_terms(text: str, wanted: frozenset[int]) -> set[tuple[int, str]]:
-    """(entity, term) of the wanted entities; text inside spans gives no terms."""
+def entity_terms(text: str, wanted: frozenset[int], alone: bool) -> set[tuple[int | None, str]]:
+    """(entity, term) of the wanted entities, (None, term) too if ``alone``; text inside spans gives no terms."""
     spans = base_spans(text)
     near = {e for s in spans if (e := _entity(text, s)) in wanted}
     if not near:
@@ -110,7 +110,7 @@ def entity_terms(text: str, wanted: frozenset[int]) -> set[tuple[int, str]]:
     for s, _, e in spans:
         hidden[s:e] = " " * (e - s)
     terms = set(map(str.lower, _TERM.findall("".join(hidden))))
-    return {(e, t) for e in near for t in terms}
+    return {(e, t) for e in [*near, *[None] * alone] for t in terms}
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -196,17 +196,19 @@ def revealing_terms(docs: DataFrame, limits: Thresholds = Thresholds()) -> DataF
     held = materialize(_tally(docs, b"\xff" * (SLOTS // 8), lambda text, _: {(_entity(text, s),) for s in base_spans(text)}, "entity long"), "held")
     entities = materialize(_summed(held, ["entity"], "n_e").where((F.col("n_e") >= limits.min_support) & (F.col("n_e") < n)), "entities")
     pairs = None
-    for block in _blocks(entities.select("entity"), "entity"):
+    for k, block in enumerate(_blocks(entities.select("entity"), "entity")):
         wanted = context.broadcast(frozenset(r.entity for r in block))
         holding = context.broadcast(_bitmap(held.join(entities, "entity", "left_semi")))
-        part = _tally(docs, repeated, lambda text, copy, wanted=wanted, holding=holding: entity_terms(text, wanted.value) if _marked(holding.value, copy) else (), "entity long, term string")
+        part = _tally(docs, repeated, lambda text, copy, wanted=wanted, holding=holding, alone=k == 0: entity_terms(text, wanted.value, alone) if _marked(holding.value, copy) else (), "entity long, term string")
         pairs = part if pairs is None else pairs.unionAll(part)
     if pairs is None:
         return none
     pairs = materialize(_summed(pairs, ["entity", "term"], "n_te").where(F.col("n_te") >= limits.min_support), "pairs")
     n_t = None
-    for block in _blocks(pairs.groupBy("term").agg(F.max("n_te").alias("n_te"))):
-        # Above n_te / min_confidence texts a term is not sure enough of any entity.
+    # Above n_te / min_confidence texts a term is not sure enough of any entity; those with entities tell so first.
+    best, seen = (F.max(F.when(F.col("entity").isNull() == x, F.col("n_te"))) for x in (False, True))
+    terms = pairs.groupBy("term").agg(best.alias("n_te"), F.coalesce(seen, F.lit(0)).alias("seen"))
+    for block in _blocks(materialize(terms.where(F.col("n_te") >= limits.min_confidence * F.col("seen")), "terms")):
         wanted = context.broadcast({r.term: r.n_te / limits.min_confidence for r in block})
         part = _tally(docs, repeated, lambda text, _, wanted=wanted: [(t,) for t in wanted.value.keys() & set(map(str.lower, _TERM.findall(text)))], "term string", lambda k, wanted=wanted: wanted.value[k[0]])
         n_t = part if n_t is None else n_t.unionAll(part)
