@@ -19,8 +19,11 @@ def _own_dir() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; one of our own only where that is unset, as in tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or _own_dir()
+    """The folder in ``spark.checkpoint.dir``; one of our own only where that is unset and all tasks run in this process."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("intermediate tables need a folder that all executors share: set spark.checkpoint.dir")
+    return shared or _own_dir()
 
 
 def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:

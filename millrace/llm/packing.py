@@ -34,7 +34,7 @@ def _byte_names() -> dict[str, int]:
 
 
 @cache
-def encoder(path: str):
+def encoder(vocabulary: bytes):
     """The byte-level BPE in a ``tokenizers`` file, as ranks for a faster coder; one for all tasks of a Python worker.
 
     In this kind of vocabulary the merges stand in order of their ids, so both give the same ids.
@@ -43,16 +43,16 @@ def encoder(path: str):
     from public_tokenizers import PATTERN
     from tokenizers import Tokenizer
 
-    source = Tokenizer.from_file(path)
-    added = {t.content for t in source.get_added_tokens_decoder().values()}
+    source = Tokenizer.from_buffer(vocabulary)
+    added = {t.content: i for i, t in source.get_added_tokens_decoder().items()}
     byte = _byte_names()
     ranks = {bytes(byte[c] for c in name): i for name, i in source.get_vocab(with_added_tokens=True).items() if name not in added}
-    return tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
-def token_ids(path: str, text: str) -> bytes:
-    """Ids of a text as little-endian unsigned 32-bit bytes; special names in it are ordinary text."""
-    return encoder(path).encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes() if text else b""
+def token_ids(coder, text: str) -> bytes:
+    """Ids of a text as little-endian unsigned 32-bit bytes; added tokens that it spells are those tokens."""
+    return coder.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes() if text else b""
 
 
 class Packer:
@@ -113,11 +113,15 @@ class Packer:
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = 2048) -> DataFrame:
-    """One row per piece, with its token ids (little-endian unsigned 32-bit) and its place."""
+    """One row per piece, with its token ids (little-endian unsigned 32-bit) and its place.
+
+    The driver reads the vocabulary file, some megabytes whatever the input, and sends it to the executors."""
+    with open(tokenizer_path, "rb") as f:
+        sent = docs.sparkSession.sparkContext.broadcast(f.read())
     out = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("token_ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(window, TaskContext.get().partitionId() << 36)
+        packer, coder = Packer(window, TaskContext.get().partitionId() << 36), encoder(sent.value)
         end = np.array([end_id], "<u4").tobytes()
         rows: list[tuple] = []
         held = 0
@@ -128,7 +132,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window
         def pieces():
             for batch in batches:
                 for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                    ids = token_ids(tokenizer_path, text.as_py()) + end
+                    ids = token_ids(coder, text.as_py()) + end
                     yield from packer.add(doc.as_py(), ids, len(ids) // 4)
             yield from packer.finish()
 
