@@ -13,8 +13,9 @@ the evidence (``n_t`` times the divergence of confidence from ``n_e / n``, in bi
 ``min_evidence``: 15 bits is the least that 3 texts, 6 bits and a confidence of a half come to. An
 entity in all texts has nothing to tell. The column ``bits`` is over rows, copies included.
 
-Term sets reach the executors in blocks of at most ``BLOCK_TERMS``, so what is broadcast has a
-bound; each further block is one more pass. Defined results: a null text counts as empty and
+Term sets reach the executors in blocks of near ``BLOCK_TERMS``: one block is collected and broadcast at a time, and each
+further one is one more pass over a table that holds the spans found so far. All spans are those of the original
+text, and text is replaced once. Defined results: a null text counts as empty and
 gives no spans (``sanitize`` keeps it null); null doc_ids are kept, and count as one document;
 repeated rows are each annotated; empty tables give no rows. Other columns pass ``sanitize``
 unchanged and are not read by ``annotate``.
@@ -32,6 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.common import materialize
 
@@ -232,33 +234,60 @@ def term_spans(text: str, terms) -> list[tuple[int, int, int]]:
     return [(m.start(), 4, m.end()) for m in _TERM.finditer(text) if m[0].lower() in terms]
 
 
-def annotate(docs: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:  # noqa: B008
-    """doc_id and ``spans``: array of (kind, start, end), by start and then kind as in KINDS."""
-    blocks = [frozenset(r.term for r in b) for b in _blocks(revealing_terms(docs, limits))]
-    wanted = [docs.sparkSession.sparkContext.broadcast(b) for b in blocks]
-    kind = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-    schema = pa.schema([("doc_id", pa.int64()), ("spans", pa.list_(kind))])
+_SPAN = "array<struct<kind:string,start:long,end:long,gone:boolean>>"
+_FOUND = "__spans"
 
-    def run(batches):
-        for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                text = text.as_py()
-                spans = base_spans(text)
-                for b in wanted:
-                    spans += term_spans(text, b.value)
-                rows.append((doc.as_py(), [{"kind": KINDS[k], "start": s, "end": e} for s, k, e in sorted(spans)]))
-            if rows:
-                yield _frame(rows, schema)
 
-    return _texts(docs).mapInArrow(run, "doc_id long, spans array<struct<kind:string,start:long,end:long>>")
+def _located(docs: DataFrame, limits: Thresholds) -> DataFrame:
+    """``docs`` with the spans of each text in a column of their own; ``gone`` marks terms to be removed.
+
+    The first pass finds the base spans too. Only the last pass is not written: no two blocks of terms are held at once."""
+    spark = docs.sparkSession
+    names, at_spans = [*docs.columns, _FOUND], len(docs.columns)
+    at, fields = names.index("text"), T.StructType([*docs.schema.fields, T.StructField(_FOUND, T._parse_datatype_string(_SPAN))])
+    arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("gone", pa.bool_())]))
+
+    def add(frame: DataFrame, shares: dict[str, float], first: bool) -> DataFrame:
+        sent = spark.sparkContext.broadcast(shares)
+
+        def run(batches):
+            for batch in batches:
+                shares, spans = sent.value, []
+                for k, text in enumerate(batch.column(at)):
+                    text = text.as_py() or ""
+                    mine = [{"kind": KINDS[k], "start": s, "end": e, "gone": False} for s, k, e in base_spans(text)] if first else batch.column(at_spans)[k].as_py()
+                    if shares:
+                        mine += [{"kind": "term", "start": s, "end": e, "gone": shares[text[s:e].lower()] >= limits.remove_share} for s, _, e in term_spans(text, shares)]
+                    spans.append(mine)
+                columns = [c for i, c in enumerate(batch.columns) if i != at_spans]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, arrow)], names)
+
+        return frame.mapInArrow(run, fields)
 
+    out, first = docs, True
+    for block in _blocks(revealing_terms(docs, limits)):
+        out = add(out if first else materialize(out, "spans"), {r.term: r.share for r in block}, first)
+        first = False
+    return add(out, {}, True) if first else out
 
-def replace_spans(text: str, spans: list[tuple[int, int, int]], shares: dict[str, float], limits: Thresholds) -> str:
+
+def _sorted(spans: str = _FOUND) -> F.Column:
+    """By start, then by kind as in KINDS."""
+    rank = lambda x: F.array_position(F.array(*[F.lit(k) for k in KINDS]), x["kind"])
+    keyed = F.transform(spans, lambda x: F.struct(x["start"].alias("start"), rank(x).alias("rank"), x["end"].alias("end"), x["kind"].alias("kind")))
+    return F.transform(F.array_sort(keyed), lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
+
+
+def annotate(docs: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:  # noqa: B008
+    """doc_id and ``spans``: array of (kind, start, end), by start and then kind as in KINDS."""
+    return _located(_texts(docs), limits).select("doc_id", _sorted().alias("spans"))
+
+
+def replace_spans(text: str, spans: list[tuple[int, int, int, bool]]) -> str:
+    """The text with (start, kind, end, gone) replaced; of spans that overlap the first by start and kind."""
     out, at = [], 0
-    for s, k, e in sorted(spans):
+    for s, k, e, gone in sorted(spans):
         if s >= at:
-            gone = k == 4 and shares[text[s:e].lower()] >= limits.remove_share
             out += [text[at:s], "" if gone else f"[{KINDS[k].upper()}]"]
         at = max(at, e)
     return "".join([*out, text[at:]])
@@ -266,23 +295,19 @@ def replace_spans(text: str, spans: list[tuple[int, int, int]], shares: dict[str
 
 def sanitize(docs: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:  # noqa: B008
     """``docs`` with ``text`` made safe: base spans become [KIND], revealing terms [TERM] or nothing."""
-    out = docs
-    blocks = [{r.term: r.share for r in b} for b in _blocks(revealing_terms(docs, limits))] or [{}]
-    at = docs.columns.index("text")
-    for block in blocks:
-        shares = docs.sparkSession.sparkContext.broadcast(block)
+    names, rank = docs.columns, {k: n for n, k in enumerate(KINDS)}
+    at = names.index("text")
 
-        def run(batches, shares=shares):
-            for batch in batches:
-                new = []
-                for text in batch.column(at):
-                    text = text.as_py()
-                    spans = text and base_spans(text) + (term_spans(text, shares.value) if shares.value else [])
-                    new.append(replace_spans(text, spans, shares.value, limits) if spans else text)
-                yield batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
-
-        out = out.mapInArrow(run, docs.schema)
-    return out
+    def run(batches):
+        for batch in batches:
+            new = []
+            for text, spans in zip(batch.column(at), batch.column(batch.num_columns - 1), strict=True):
+                text, spans = text.as_py(), spans.as_py()
+                new.append(replace_spans(text, [(x["start"], rank[x["kind"]], x["end"], x["gone"]) for x in spans]) if spans else text)
+            kept = [pa.array(new, batch.schema.field(at).type) if i == at else c for i, c in enumerate(batch.columns[:-1])]
+            yield pa.RecordBatch.from_arrays(kept, names)
+
+    return _located(docs, limits).mapInArrow(run, docs.schema)
 
 
 def digest_spans(found: DataFrame) -> DataFrame:
