@@ -210,9 +210,10 @@ MEDIA = "doc_id long, n_bytes long, payload binary, media binary, declared_type
 
 
 def media_documents(docs: DataFrame) -> DataFrame:
-    """Each text stored as a media file under a type its source declares, then sniffed, corrected, carved and read back.
+    """Each text stored as a media file under a type its source declares, then sniffed, corrected, read back and carved.
 
-    The container and the declared type follow from the payload alone. ``embedded`` has what was carved inside the file."""
+    The container and the declared type follow from the payload alone. ``embedded`` has the media inside the samples read back,
+    by their place there, so the container (of which PNG deflates its samples) hides none."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload", pa.binary()), ("media", pa.binary()), ("declared_type", pa.string()), ("media_type", pa.string()), ("corrected", pa.bool_()), ("embedded", pa.list_(pa.struct([("type", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]))), ("feature", pa.string())])
     kinds = ("wav", "bmp", "png")
 
@@ -221,10 +222,12 @@ def media_documents(docs: DataFrame) -> DataFrame:
         pick = hashlib.sha256(payload).digest()
         media = store(payload, kinds[pick[0] % 3])
         declared = kinds[(pick[0] + pick[1] % 2) % 3]
-        kind, length, found = sniff(media)
+        kind, length, _ = sniff(media)
         if length != len(media):
             raise ValueError(f"the stored form of document {doc} is not a whole file")
         back = load(media, kind)
+        start, size, found = sniff(back)
+        found = [(start, 0, size)] * (size > 0) + [x for x in found if x[1] >= size]
         return doc, n, back, media, declared, kind, kind != declared, [{"type": k, "offset": o, "length": m} for k, o, m in found], f"type={kind};{features(back, n)};embedded={len(found)}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,4 +256,8 @@ def digest_media(media: DataFrame) -> DataFrame:
         F.octet_length("media").cast("long").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"),
         "feature",
+        "declared_type",
+        "media_type",
+        "corrected",
+        F.array_join(F.transform("embedded", lambda x: F.concat_ws(":", x["type"], x["offset"], x["length"])), ",").alias("embedded"),
     )
