@@ -8,6 +8,10 @@ from millrace.llm import chat, decontaminate, media, minhash, packing, pii, qual
 from millrace.llm.common import table
 
 
+#: Bytes in a shard: less than the operator's own limit, so that tables of any size are split.
+SHARD_BYTES = 1 << 20
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -52,7 +56,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shards(table(spark, sf_dir, "documents"))
+    return sharding.shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
 QUERIES = {
@@ -73,5 +77,5 @@ ORACLE_SQL = {
     "op6_chat_formatting": chat.ORACLE,
     "op7_minhash": minhash.oracle(minhash.Params(words=4)),
     "op8_url_filter": urls.ORACLE,
-    "op9_sharding": sharding.oracle(),
+    "op9_sharding": sharding.oracle(SHARD_BYTES),
 }
