@@ -2,7 +2,7 @@
 
 Statistics of each text are standardised, mapped to ``n_random`` cosine features that
 approximate a Gaussian kernel, and fitted by ridge regression from normal equations that
-every partition sums on its own. Labelled rows are dealt by ``crc32(doc_id as text) % 5``:
+every partition sums on its own; a tree of tasks adds ``FAN_IN`` of these sums at a time, in order of partitions. Labelled rows are dealt by ``crc32(doc_id as text) % 5``:
 0 is held out, 1 calibrates, the rest fit. Calibration pools scores into ``BINS`` bins by
 adjacent violators, so its size does not grow. No sample is drawn; all labelled rows count.
 
@@ -22,10 +22,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.common import materialize
 
-FOLDS, BINS, SLOTS = 5, 1000, 16
+FOLDS, BINS = 5, 1000
+#: Matrices that one task adds up, and how often they are added up so before the driver takes the rest.
+FAN_IN, LEVELS = 64, 3
 _GROUPS = [b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b" ", b"\n", b"|", b"!", b"?", b".", b",", b"#$%&*@^~<>{}[]\\/=+_", b"\"'():;-"]
 _INDEX = [np.frombuffer(g, np.uint8) for g in _GROUPS]
 N_STATS = len(_GROUPS) + 13
@@ -131,16 +134,20 @@ def fit(stats: DataFrame, labels: DataFrame, n_random: int = 256, ridge: float =
         for batch in batches:
             z = model.design(_stack(batch.column(0)))
             total += z.T @ np.hstack([z, np.asarray(batch.column(1))[:, None]])
-        yield pa.RecordBatch.from_pydict({"slot": [TaskContext.get().partitionId() % SLOTS], "total": [total.tobytes()]}, schema=pa.schema([("slot", pa.int32()), ("total", pa.binary())]))
+        yield pa.RecordBatch.from_pydict({"slot": [TaskContext.get().partitionId()], "total": [total.tobytes()]}, schema=schema)
 
     def add(table: pa.Table) -> pa.Table:
+        order = np.argsort(np.asarray(table.column("slot")), kind="stable")
         total = np.zeros((width, width + 1))
-        for x in table.column("total"):
-            total += np.frombuffer(x.as_py()).reshape(total.shape)
-        return pa.table({"total": [total.tobytes()]})
-
-    parts = train.select("stats", "y").mapInArrow(part, "slot int, total binary").groupBy("slot").applyInArrow(add, "total binary").collect()
-    total = sum(np.frombuffer(r.total).reshape(width, width + 1) for r in parts)
+        for k in order:
+            total += np.frombuffer(table.column("total")[int(k)].as_py()).reshape(total.shape)
+        return pa.table({"slot": pa.array([table.column("slot")[int(order[0])].as_py() // FAN_IN], pa.int64()), "total": [total.tobytes()]})
+
+    schema = pa.schema([("slot", pa.int64()), ("total", pa.binary())])
+    parts = train.select("stats", "y").mapInArrow(part, "slot long, total binary")
+    for _ in range(LEVELS):
+        parts = parts.groupBy(F.expr(f"slot div {FAN_IN}")).applyInArrow(add, "slot long, total binary")
+    total = sum(np.frombuffer(r.total).reshape(width, width + 1) for r in sorted(parts.collect(), key=lambda r: r.slot))
     beta = np.linalg.solve(total[:, :-1] + ridge * sums[0] / width * np.eye(width), total[:, -1])
     model = Model(mean, scale, model.weights, model.shift, beta, np.zeros(0), np.zeros(0))
 
@@ -161,6 +168,27 @@ def fit(stats: DataFrame, labels: DataFrame, n_random: int = 256, ridge: float =
     return Model(mean, scale, model.weights, model.shift, beta, knots, values)
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` whose own text scores ``threshold`` or more, whatever their doc_id."""
+    at, names = docs.columns.index("text"), docs.columns
+    fields = T.StructType([*docs.schema.fields, T.StructField("__stats", T.ArrayType(T.DoubleType()))])
+
+    def measure(batches):
+        for batch in batches:
+            stats = pa.array([statistics(x.as_py() or "") for x in batch.column(at)], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, stats], [*names, "__stats"])
+
+    frame = materialize(docs.mapInArrow(measure, fields), "measured", "zstd")
+    model = fit(frame.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("__stats").alias("stats")), labels)
+
+    def keep(batches):
+        for batch in batches:
+            score = model.score(_stack(batch.column(batch.num_columns - 1))) if model and len(batch) else np.full(len(batch), 0.5)
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1], names).filter(pa.array(score >= threshold))
+
+    return frame.mapInArrow(keep, docs.schema)
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
     stats = materialize(document_statistics(docs), "statistics")
