@@ -9,8 +9,8 @@ window of ``window`` words (of the whole item where that is shorter) has at leas
 placement of the words that may differ leaves one of them whole: no pair that counts is lost.
 Masks begin and end with a kept word, so words beyond a document's ends count as differing.
 
-The item seeds are broadcast in blocks of at most ``BLOCK_SEEDS`` rows; more blocks mean more
-passes. Hits are reduced to different diagonals in each task before they are shuffled, and
+Up to ``BLOCK_SEEDS`` item seeds are broadcast, so only hits are shuffled; more of them are joined by a shuffle of both
+sides, once, in which adaptive execution splits a seed that many documents have. Hits are reduced to different diagonals in each task before they are shuffled, and
 only documents with hits are read again.
 
 Defined results: null and empty texts and null ids give no pairs. Items of any length count.
@@ -91,12 +91,8 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = 12, percent: int =
     seeds = materialize(_seeds(items, "item_id", window, percent).select("item_id", F.col("at").alias("item_at"), "seed").distinct(), "seeds")
     sizes = items.where("item_id is not null").select(F.least(F.size(words(F.col("text"))), F.lit(window)).alias("wide")).distinct()
     widths = [r.wide for r in sizes.collect() if r.wide] or [window]
-    blocks = max(1, -(-seeds.count() // BLOCK_SEEDS))
-    hits = None
-    for k in range(blocks):
-        block = F.broadcast(seeds.where(F.pmod("seed", F.lit(blocks)) == k))
-        part = _seeds(docs, "doc_id", window, percent, widths).join(block, "seed").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
-        hits = part if hits is None else hits.unionAll(part)
+    wanted = F.broadcast(seeds) if seeds.count() <= BLOCK_SEEDS else seeds.hint("merge")
+    hits = _seeds(docs, "doc_id", window, percent, widths).join(wanted, "seed").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
     hits = materialize(hits.distinct(), "hits")
     hit_docs = hits.select("doc_id").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(hit_docs, "doc_id", "left_semi").select("doc_id", words(F.col("text")).alias("w"))
@@ -115,9 +111,12 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = 12, percent: int =
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 12, percent: int = 80) -> DataFrame:
-    """``docs`` without those that overlap any item."""
-    found = overlaps(docs, items, window, percent).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(found, docs["doc_id"] == found["_hit"], "left_anti")
+    """``docs`` without the rows whose own text overlaps any item, whatever their doc_id.
+
+    Texts are known by a 64-bit hash: a clean one is lost if it shares that of one that overlaps."""
+    texts = docs.where("text is not null").select(F.xxhash64("text").alias("doc_id"), "text")
+    found = overlaps(texts, items, window, percent).select(F.col("doc_id").alias("_hit")).distinct()
+    return docs.join(found, F.xxhash64(docs["text"]) == found["_hit"], "left_anti")
 
 
 def _sql_list() -> str:
