@@ -11,9 +11,12 @@ five standard deviations.
 
 A band misses a pair of similarity 0.8 with 0.59; all 32 with 5e-8.
 
+A node's number is drawn when the nodes are written and says nothing; the least doc_id of
+a component's texts is taken at the end. So results do not depend on partitions or on the order of rows.
+
 Defined results: null or empty texts and texts of white space have no shingles and stay
-alone; a null doc_id stays alone, with a null component, and is kept. Rows of one doc_id are
-one document. Empty tables give no rows. Columns other than doc_id and text are not read.
+alone; a null doc_id stays alone, with a null component, and is kept. Different texts under one doc_id
+are linked each by its own set, and not by the doc_id; repeated rows are alike. Empty tables give no rows. Columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ from millrace.llm.components import components
 
 _KNOWN = 300_000
 BLOCK = 512
+#: Pairs of one node that a task confirms before another one gets a copy of its text.
+PAIRS = 1000
 
 
 @dataclass(frozen=True)
@@ -95,24 +100,26 @@ def minima(found: np.ndarray, n: int, seed: int) -> np.ndarray:
 
 
 def _read(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """doc_id, text and ``tid``, which tells apart texts under one doc_id."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tid"))
 
 
 def signatures(docs: DataFrame, p: Params) -> DataFrame:
-    """doc_id, n_shingles, digest of the set and its minima; no digest where there is nothing to link."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("minima", pa.binary())])
+    """doc_id, tid, n_shingles, digest of the set and its minima; no digest where there is nothing to link."""
+    schema = pa.schema([("doc_id", pa.int64()), ("tid", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("minima", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 part, rows = batch.slice(at, 1000), []
-                for doc, text in zip(part.column(0), part.column(1), strict=True):
+                for doc, text, tid in zip(part.column(0), part.column(1), part.column(2), strict=True):
                     doc, found = doc.as_py(), shingles(text.as_py(), p.words)
                     linked = doc is not None and len(found) > 0
-                    rows.append((doc, len(found), xxhash.xxh3_128_digest(found.tobytes()) if linked else None, minima(found, p.minima, p.seed).tobytes() if linked else None))
+                    rows.append((doc, tid.as_py(), len(found), xxhash.xxh3_128_digest(found.tobytes()) if linked else None, minima(found, p.minima, p.seed).tobytes() if linked else None))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return _read(docs).mapInArrow(run, "doc_id long, n_shingles long, digest binary, minima binary")
+    return _read(docs).mapInArrow(run, "doc_id long, tid long, n_shingles long, digest binary, minima binary")
 
 
 def banded(nodes: DataFrame, p: Params) -> DataFrame:
@@ -235,13 +242,18 @@ def linked_across(rows: DataFrame, nodes: DataFrame, texts: DataFrame, p: Params
     minima = nodes.select("id", "minima")
     keys = ("bucket", "low", "high")
     some = materialize(_blocks(rows).join(minima, "id").groupBy(*keys).applyInArrow(needed, _CUT), "needed")
-    return some.join(minima, "id").join(texts.withColumnRenamed("doc_id", "id"), "id").groupBy(*keys).applyInArrow(links, "a long, b long")
+    return some.join(minima, "id").join(texts, "id").groupBy(*keys).applyInArrow(links, "a long, b long")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets, of the ``texts`` with these doc_ids, are similar enough."""
-    a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
+    """The pairs (a, b) whose full shingle sets, of the ``texts`` of these nodes, are similar enough.
+
+    The pairs of a node that is in many are dealt to several tasks, each with its own copy of that node's text."""
+    pairs = pairs.join(pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS).alias("parts")), "a")
+    pairs = pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
+    needed = pairs.select("a", "part").distinct()
+    a = needed.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+    b = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
 
     def run(batches):
         last, left = None, None
@@ -257,20 +269,22 @@ def confirmed(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
             if keep:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*keep, strict=True)], ["a", "b"])
 
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return pairs.join(b, "b").join(a, ["a", "part"]).select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:  # noqa: B008
     """doc_id, n_shingles, component_id (least doc_id reachable by links) and kept, one row per row of ``docs``."""
     signed = materialize(signatures(docs, p), "signatures")
-    sets = materialize(signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id")), "sets")
-    nodes = materialize(signed.join(sets, "digest").where("doc_id = id").select("id", "n_shingles", "minima").dropDuplicates(["id"]), "nodes")
+    sets = signed.where("digest is not null").groupBy("digest").agg(F.min(F.struct("doc_id", "tid")).alias("x"))
+    sets = materialize(sets.select("digest", F.col("x.doc_id").alias("doc_id"), F.col("x.tid").alias("tid"), F.monotonically_increasing_id().alias("id")), "sets")
+    nodes = signed.join(sets, ["digest", "doc_id", "tid"]).select("id", "n_shingles", "minima", "doc_id", "tid")
+    nodes = materialize(nodes.dropDuplicates(["id"]), "nodes")
     member = materialize(banded(nodes, p), "bands")
     size = member.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("centre")).where("n > 1")
     member = member.join(size, "bucket").join(nodes.select("id", "n_shingles"), "id")
     member = materialize(member.select("bucket", "id", "centre", F.col("n_shingles").alias("size")), "buckets")
-    met = member.select(F.col("id").alias("doc_id")).distinct()
-    texts = materialize(_read(docs).join(met, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    met = nodes.select("id", "doc_id", "tid").join(member.select("id").distinct(), "id", "left_semi")
+    texts = materialize(_read(docs).join(met, ["doc_id", "tid"]).select("id", "text").dropDuplicates(["id"]), "texts")
     links = None
     labels = docs.sparkSession.createDataFrame([], "id long, component long")
     pairs = member.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
@@ -287,7 +301,9 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:  # noqa
         if good is not None and not good.isEmpty():
             links = good if links is None else links.unionAll(good)
             labels = materialize(components(links), "labels")
-    group = sets.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
+    named = sets.join(labels, "id", "left").select("digest", "doc_id", "component")
+    least = named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
+    group = named.join(least, "component", "left").select("digest", F.coalesce("least", "doc_id").alias("component"))
     out = signed.select("doc_id", "n_shingles", "digest").join(group, "digest", "left")
     label = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", label.alias("component_id"), F.coalesce(label == F.col("doc_id"), F.lit(True)).alias("kept"))
