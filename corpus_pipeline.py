@@ -1,8 +1,10 @@
 """Corpus pipeline: quality, near-duplicates, decontamination, personal data, packing.
 
 Each stage is written as Parquet and read again as the next one's documents; all but the
-last return the columns of ``documents``. Nulls, empty texts and repeated rows are handled as
-the operators' docstrings say.
+last return the columns of ``documents``. The filtering stages decide about each row by its own text, so
+rows without a doc_id and different texts under one doc_id are judged like all others. A null or empty text has no
+near-duplicates and no benchmark passage; what its quality score is, the classifier decides. An empty
+table gives empty tables.
 """
 
 from __future__ import annotations
@@ -15,25 +17,23 @@ from millrace.llm.common import materialize, table
 from millrace.llm.queries import tokenizer_path
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return docs.join(ids.select(F.col("doc_id").alias("_id")).distinct(), docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
-
-
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts; of rows with one doc_id all stay if any is accepted."""
-    scored = quality.score_documents(docs, table(spark, sf_dir, "labels"))
-    return _only(docs, scored.where("predicted = 1"))
+    """Rows whose text the classifier accepts."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: that with the least doc_id, one row of it."""
-    kept = minhash.near_duplicates(docs).where("kept")
-    named = _only(docs.where("doc_id is not null"), kept).dropDuplicates(["doc_id"])
-    return named.unionAll(docs.where("doc_id is null"))
+    """One row of each group of near-duplicates: one with the least doc_id. Rows without a doc_id come after all others."""
+    names = docs.columns
+    rows = materialize(docs.select(F.struct(*names).alias("row")).withColumn("key", F.monotonically_increasing_id()), "rows", "zstd")
+    told = minhash.near_duplicates(rows.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text"))).select(F.col("doc_id").alias("key"), F.col("component_id").alias("group"))
+    order = F.struct(F.col("row.doc_id").isNull().alias("last"), F.col("row.doc_id").alias("doc_id"), "key")
+    kept = rows.select("key", order.alias("x")).join(told, "key").groupBy("group").agg(F.min("x").alias("x"))
+    return rows.join(kept.select(F.col("x.key").alias("key")), "key", "left_semi").select("row.*")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
+    """Rows whose text holds no benchmark passage."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 

@@ -2,7 +2,6 @@
 
 import hashlib
 import itertools
-import json
 import re
 import zlib
 from collections import defaultdict
@@ -58,7 +57,6 @@ def test_packing_round_trip(spark, docs, empty):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(TOKENIZER)
-    tok.encode_special_tokens = True
     got = [r.asDict() for r in packing.pack_documents(docs, TOKENIZER).collect()]
     by = defaultdict(list)
     for r in got:
@@ -83,6 +81,19 @@ def test_packing_round_trip(spark, docs, empty):
     assert packing.pack_documents(empty, TOKENIZER).count() == 0
 
 
+def test_ids_are_those_of_the_vocabulary():
+    """Random texts of words, spaces, marks, scripts and spelled added tokens, against ``tokenizers``."""
+    from tokenizers import Tokenizer
+
+    tok, rng = Tokenizer.from_file(TOKENIZER), np.random.default_rng(2)
+    with open(TOKENIZER, "rb") as f:
+        coder = packing.encoder(f.read())
+    bits = ["a", " the", "  ", "\n", "\t", "1234", "don't", "'LL", "é", "ß", "東京", "🙂", "\u200d", "\x00", "\xa0", "<|endoftext|>", "<|endof", "text|>", "|", "_", "Ω", "İ", "\u0301", "!?", "...", " ", "x" * 30]
+    for _ in range(3000):
+        text = "".join(rng.choice(bits) for _ in range(rng.integers(0, 30)))
+        assert np.frombuffer(packing.token_ids(coder, text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, text
+
+
 def test_packer_takes_the_level_of_least_squares():
     rng = np.random.default_rng(0)
     p = packing.Packer(50, 0)
@@ -134,6 +145,38 @@ def test_sniffing_carves_and_corrects():
     assert media.sniff(bytes(broken))[0] == "unknown"
 
 
+def test_sniffing_finds_what_a_plain_scan_finds():
+    """Every validator tried at every offset, without an automaton."""
+    rng = np.random.default_rng(8)
+    payload = bytes(range(256)) * 9
+    gif = b"GIF89a\x01\0\x01\0\x80\0\0\0\0\0\xff\xff\xff,\0\0\0\0\x01\0\x01\0\0\x02\x02D\x01\0;"
+    files = [*(media.store(payload, k) for k in ("wav", "bmp", "png")), gif, b"BM", b"RIFF", b"\x1f\x8b\x08", __import__("gzip").compress(payload)]
+    for _ in range(60):
+        blob = b"".join(files[int(k)][: int(rng.integers(1, 4000))] if rng.random() < 0.3 else files[int(k)] + b"-" * int(rng.integers(0, 5)) for k in rng.integers(0, len(files), 6))
+        first, found, past = ("unknown", 0), [], 0
+        for at in range(len(blob)):
+            for magic, name in media.MAGIC.items():
+                if blob.startswith(magic, at) and (at == 0 or at >= past):
+                    kind, size = media.CHECKS[name](memoryview(blob)[at:])
+                    if size and at:
+                        found.append((kind, at, size))
+                        past = at + size
+                    elif size:
+                        first = kind, size
+        kind, size, carved = media.sniff(blob)
+        assert ((kind, size), carved) == (first, found)
+
+
+def test_carving_does_not_depend_on_the_container(spark):
+    """The same embedded file is found whatever container the text is stored in."""
+    texts = [(i, f"{i} GIF89a\x01\0\x01\0\0\0\0,\0\0\0\0\x01\0\x01\0\0\x02\x02D\x01\0; {'end' * i}") for i in range(30)]
+    got = media.digest_media(media.media_documents(spark.createDataFrame(texts, "doc_id long, text string"))).collect()
+    assert {r["media_type"] for r in got} == {"wav", "bmp", "png"}
+    for r in got:
+        at = len(str(r["doc_id"])) + 1
+        assert r["embedded"] == f"gif:{at}:29" and r["corrected"] == (r["declared_type"] != r["media_type"])
+
+
 def plain_spans(text):
     """The four kinds by plain patterns."""
     out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
@@ -205,6 +248,17 @@ def test_terms_far_from_a_rare_entity(spark):
     assert terms == {"zanzibarian"}
 
 
+@pytest.mark.parametrize("size", [1, 2, 200_000])
+def test_blocks_of_terms_do_not_change_the_text(spark, monkeypatch, size):
+    monkeypatch.setattr(pii, "BLOCK_TERMS", size)
+    told = [(i, f"note {'abcdefghijk'[i]}{'abcdefghijk'[i]}x the Zanzibarian captain with an email term wrote from sea@ship.example again") for i in range(5)]
+    plain = [(100 + i, f"the note wrote again from here number {i} with an") for i in range(600)]
+    alone = [(900, "the Zanzibarian email term slept")]
+    safe = {r["doc_id"]: r["text"] for r in pii.sanitize(docs_of(spark, [*told, *plain, *alone])).collect()}
+    assert safe[900] == "the [TERM] [TERM] [TERM] slept"
+    assert safe[1].endswith("the [TERM]  with an [TERM] [TERM] wrote from [EMAIL] again") and safe[100] == plain[0][1]
+
+
 def cut(texts, n=100):
     """What is left when every byte of an n-byte string that starts earlier goes."""
     seen, out = set(), {}
@@ -290,6 +344,26 @@ def test_near_duplicates(spark, docs, empty, monkeypatch, block):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_one_id_with_two_texts(spark):
+    """Links are those of the texts, in any order and over any partitions."""
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "xy")
+    rows = [(1, one), (1, two), (2, one + " tail"), (3, two + " end"), (3, two + " end"), (None, one), (4, "alone it stands")]
+    want = sorted([("1", 57, 1), ("1", 57, 1), ("2", 58, 1), ("3", 58, 1), ("3", 58, 1), ("None", 57, None), ("4", 1, 4)], key=str)
+    for k, order in enumerate((rows, rows[::-1], rows[2:] + rows[:2])):
+        df = spark.createDataFrame(order, "doc_id long, text string").repartition(1 + 3 * k)
+        got = minhash.near_duplicates(df, minhash.Params(words=4)).collect()
+        assert sorted([(str(r["doc_id"]), r["n_shingles"], r["component_id"]) for r in got], key=str) == want
+        assert all(r["kept"] == (r["doc_id"] is None or r["doc_id"] == r["component_id"]) for r in got)
+
+
+def test_a_hot_centre_is_split(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "PAIRS", 7)
+    base = [f"w{i}" for i in range(80)]
+    texts = [(i, " ".join([*base, f"tail{i}"])) for i in range(100)]
+    got = minhash.near_duplicates(docs_of(spark, texts)).collect()
+    assert {r["component_id"] for r in got} == {0}
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(1000, 1060)] + [(5, 5), (None, 3)]
@@ -321,7 +395,7 @@ def test_decontamination(spark, docs, empty, monkeypatch):
         monkeypatch.setattr(decontaminate, "BLOCK_SEEDS", size)
         assert sorted(tuple(r) for r in decontaminate.overlaps(docs_of(spark, texts), items).collect()) == want
     left = sorted(str(r["doc_id"]) for r in decontaminate.decontaminate(docs_of(spark, texts), items).collect())
-    assert left == ["3", "4", "5", "None"]
+    assert left == ["3", "4", "5"]
     assert decontaminate.overlaps(empty, items).count() == 0 and decontaminate.overlaps(docs, items.limit(0)).count() == 0
     plan = decontaminate._seeds(docs, "doc_id")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
@@ -411,6 +485,59 @@ def test_sharding(spark, docs, empty):
     assert sharding.shards(empty).count() == 0
 
 
+@pytest.mark.parametrize("limit", [100])
+def test_written_shards_hold_each_row_once(spark, tmp_path, limit):
+    rng = np.random.default_rng(9)
+    texts = [(i, "x" * int(rng.integers(0, 300))) for i in range(60)] + [(7, "another text of id 7"), (7, "another text of id 7"), (None, "none"), (200, None)] + [(300, "z" * 50)] * 41
+    df = docs_of(spark, texts)
+    contents = []
+    for k, layout in enumerate((df, df.coalesce(1), df.repartition(7))):
+        sharding.write_shards(layout, f"file://{tmp_path}/{k}", limit)
+        back = spark.read.parquet(f"file://{tmp_path}/{k}")
+        rows = [(r["doc_id"], r["text"], r["shard"]) for r in back.collect()]
+        assert sorted(map(str, ((d, t) for d, t, _ in rows))) == sorted(map(str, texts)) and set(df.columns) < set(back.columns)
+        size = defaultdict(list)
+        for _, t, s in rows:
+            assert isinstance(s, str) and s.startswith("s-")
+            size[s].append(len(t or ""))
+        assert all(sum(x) <= limit or len(x) == 1 for x in size.values())
+        contents.append(sorted(map(str, rows)))
+        told = sharding.shards(layout, limit).collect()
+        assert sorted((str(r["doc_id"]), "s-" + r["shard_id"]) for r in told) == sorted((str(d), s) for d, _, s in rows)
+    assert contents[0] == contents[1] == contents[2]
+
+
+def test_quality_matches_a_plain_fit(spark):
+    """Coefficients, raw scores and calibration against numpy on all labelled rows at once."""
+    rng = np.random.default_rng(12)
+    texts = [(i, " ".join(rng.choice(["one", "two", "THREE", "4", "five!", "a", "longerword"], int(rng.integers(1, 60))))) for i in range(500)]
+    labels = [(i, int(len(t) % 3 > 0), 0) for i, t in texts]
+    stats = quality.document_statistics(spark.createDataFrame(texts, "doc_id long, text string").repartition(9))
+    model = quality.fit(stats, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    part = np.array([zlib.crc32(str(i).encode()) % 5 for i, _ in texts])
+    x, y = np.array([quality.statistics(t) for _, t in texts]), np.array([q for _, q, _ in labels], float)
+    train = part > 1
+    assert np.allclose(model.mean, x[train].mean(axis=0)) and np.allclose(model.scale, np.where(x[train].std(axis=0) > 1e-9, x[train].std(axis=0), 1))
+    z = np.clip((x - model.mean) / model.scale, -8, 8)
+    design = np.hstack([np.ones((len(z), 1)), z, np.cos(z @ model.weights + model.shift) * np.sqrt(2 / len(model.shift))])
+    gram = design[train].T @ design[train]
+    beta = np.linalg.solve(gram + 1e-3 * train.sum() / len(gram) * np.eye(len(gram)), design[train].T @ y[train])
+    assert np.allclose(model.raw(x), np.clip(design @ beta, 0, 1), atol=1e-6)
+    held = part == 1
+    bins = np.minimum((model.raw(x[held]) * quality.BINS).astype(int), quality.BINS - 1)
+    pool = [[b, [v]] for b, v in sorted(zip(bins, y[held], strict=True), key=lambda r: r[0])]
+    merged = []
+    for b, v in pool:
+        if merged and merged[-1][0][-1] == b:
+            merged[-1] = (merged[-1][0] + [b], merged[-1][1] + v)
+        else:
+            merged.append(([b], v))
+        while len(merged) > 1 and np.mean(merged[-2][1]) >= np.mean(merged[-1][1]) and merged[-2][0][-1] != merged[-1][0][0] and not any(c == merged[-1][0][-1] for c, _ in pool[sum(len(m[1]) for m in merged) :]):
+            last = merged.pop()
+            merged[-1] = (merged[-1][0] + last[0], merged[-1][1] + last[1])
+    assert np.allclose(model.values, [np.mean(v) for _, v in merged])
+
+
 def test_quality(spark, docs, empty):
     rng = np.random.default_rng(7)
     good = [(i, " ".join(rng.choice(["apple", "river", "stone", "walks", "slowly", "the", "a"], 60)) + ".") for i in range(0, 600, 2)]
@@ -451,4 +578,43 @@ def test_pipeline(spark):
     assert ids[3] == ids[2] - {r["doc_id"] for r in decontaminate.overlaps(kept[2], spark.read.parquet(f"{d}/benchmark.parquet")).collect()}
     assert ids[4] == ids[3] == ids[5]
     assert all(not plain_spans(r["text"]) and r["n_chars"] == len(r["text"]) for r in kept[4].collect())
-    assert json.dumps(sorted(ids[5]))
+    pieces = defaultdict(int)
+    for r in kept[5].collect():
+        pieces[r["doc_id"]] += r["length"]
+    with open(TOKENIZER, "rb") as f:
+        coder = packing.encoder(f.read())
+    assert pieces == {r["doc_id"]: len(packing.token_ids(coder, r["text"])) // 4 + 1 for r in kept[4].collect()}
+
+
+def test_pipeline_decides_row_by_row(spark, monkeypatch):
+    """Null ids and texts, repeated rows, two texts under one id, and columns whose names clash."""
+    import corpus_pipeline as cp
+
+    item = " ".join(f"item{i}" for i in range(30))
+    good = lambda k: f"{BASE} with its own words {k} " + " ".join(f"{k}w{i}" for i in range(120))
+    rows = [(1, good("a")), (1, good("b")), (2, good("a") + " tail"), (None, good("a")), (None, good("c")), (None, good("c")), (3, f"{good('d')} {item}"), (3, good("e")), (None, f"{good('f')} {item}"), (4, None), (5, ""), (None, None)]
+    df = docs_of(spark, rows)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    benchmark = spark.createDataFrame([(1, item), (None, "nothing"), (2, None)], "item_id long, text string")
+    monkeypatch.setattr(cp, "table", lambda spark, sf_dir, name: {"labels": labels, "benchmark": benchmark}[name])
+    show = lambda f: sorted(map(str, ((r["doc_id"], r["text"]) for r in f.collect())))
+    kept = cp.keep_quality(spark, df, "")
+    assert show(kept) == sorted(map(str, rows)) and kept.columns == df.columns
+    kept = cp.drop_near_duplicates(spark, df, "")
+    want = [(1, good("a")), (1, good("b")), (None, good("c")), (3, f"{good('d')} {item}"), (3, good("e")), (None, f"{good('f')} {item}"), (4, None), (5, ""), (None, None)]
+    assert show(kept) == sorted(map(str, want)) and kept.columns == df.columns
+    kept = cp.drop_benchmark(spark, kept, "")
+    assert show(kept) == sorted(map(str, [w for w in want if not w[1] or item not in w[1]])) and kept.columns == df.columns
+    for stage in (cp.keep_quality, cp.drop_near_duplicates, cp.drop_benchmark):
+        assert stage(spark, df.limit(0), "").count() == 0
+
+
+def test_shared_folder_is_needed_on_a_cluster():
+    from types import SimpleNamespace
+
+    from millrace.llm import common
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077", getConf=lambda: conf))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_dir(cluster)
