@@ -39,6 +39,9 @@ from millrace.llm.common import materialize
 
 KINDS = ("email", "ip", "card", "phone", "term")
 BLOCK_TERMS = 200_000
+#: Shares of the texts, as divisors, in which terms are counted before all texts are: too common a term shows
+#: in few of them already (what a part of the texts holds, all texts hold), and need not be counted to the end.
+PARTS = (32, 8, 1)
 #: Size of the bitmaps of hashes, and of the tables of counts that a task holds.
 SLOTS, HELD = 1 << 22, 200_000
 
@@ -187,6 +190,19 @@ def _summed(tally: DataFrame, key: list[str], name: str) -> DataFrame:
     return tally.groupBy(*key).agg(F.sum("texts").alias(name), F.sum("rows").alias(f"{name}_rows"))
 
 
+def _texts_with(docs: DataFrame, repeated: bytes, terms: DataFrame, part: int) -> DataFrame | None:
+    """(term, n_t, n_t_rows): how many different texts, and rows, hold each term, among one ``part``-th of all texts.
+
+    Terms found in more than ``most`` of them may be counted less, but above it; None if there are no terms."""
+    some = docs.where(F.pmod(F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))), F.lit(part)) == 0) if part > 1 else docs
+    out = None
+    for block in _blocks(terms):
+        wanted = docs.sparkSession.sparkContext.broadcast({r.term: r.most for r in block})
+        found = _tally(some, repeated, lambda text, _, wanted=wanted: [(t,) for t in wanted.value.keys() & set(map(str.lower, _TERM.findall(text)))], "term string", lambda k, wanted=wanted: wanted.value[k[0]])
+        out = found if out is None else out.unionAll(found)
+    return None if out is None else _summed(out, ["term"], "n_t")
+
+
 def revealing_terms(docs: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:  # noqa: B008
     """(term, bits, confidence, share) of the terms that disclose an entity."""
     none = docs.sparkSession.createDataFrame([], "term string, bits double, confidence double, share double")
@@ -206,17 +222,17 @@ def revealing_terms(docs: DataFrame, limits: Thresholds = Thresholds()) -> DataF
     if pairs is None:
         return none
     pairs = materialize(_summed(pairs, ["entity", "term"], "n_te").where(F.col("n_te") >= limits.min_support), "pairs")
-    n_t = None
     # Above n_te / min_confidence texts a term is not sure enough of any entity; those with entities tell so first.
     best, seen = (F.max(F.when(F.col("entity").isNull() == x, F.col("n_te"))) for x in (False, True))
     terms = pairs.groupBy("term").agg(best.alias("n_te"), F.coalesce(seen, F.lit(0)).alias("seen"))
-    for block in _blocks(materialize(terms.where(F.col("n_te") >= limits.min_confidence * F.col("seen")), "terms")):
-        wanted = context.broadcast({r.term: r.n_te / limits.min_confidence for r in block})
-        part = _tally(docs, repeated, lambda text, _, wanted=wanted: [(t,) for t in wanted.value.keys() & set(map(str.lower, _TERM.findall(text)))], "term string", lambda k, wanted=wanted: wanted.value[k[0]])
-        n_t = part if n_t is None else n_t.unionAll(part)
-    if n_t is None:
-        return none
-    weighed = pairs.join(_summed(n_t, ["term"], "n_t"), "term").join(entities, "entity")
+    terms = materialize(terms.where(F.col("n_te") >= limits.min_confidence * F.col("seen")).select("term", (F.col("n_te") / limits.min_confidence).alias("most")), "terms")
+    for part in PARTS:
+        n_t = _texts_with(docs, repeated, terms, part)
+        if n_t is None:
+            return none
+        if part > 1:
+            terms = materialize(terms.join(n_t, "term", "left").where(F.col("n_t").isNull() | (F.col("n_t") <= F.col("most"))).select("term", "most"), "terms")
+    weighed = pairs.join(n_t, "term").join(entities, "entity")
     sure, base = F.col("n_te") / F.col("n_t"), F.col("n_e") / F.lit(float(n))
     beside = F.when(sure < 1, (F.col("n_t") - F.col("n_te")) * F.log2((1 - sure) / (1 - base))).otherwise(0.0)
     weighed = weighed.select(
