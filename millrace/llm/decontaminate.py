@@ -36,6 +36,8 @@ MASKS = ("11101011", "11010111", "10111101")
 SPAN = 8
 MARKS = ".,;:!?\"'()[]{}|\n\t\r\v\f"
 BLOCK_SEEDS = 500_000
+#: Positions whose seeds are made together: what a task holds of a text beside its words and their hashes.
+PIECE = 1024
 
 
 def words(text: Column) -> Column:
@@ -77,13 +79,16 @@ def _seeds(df: DataFrame, key: str, window: int = 12, percent: int = 80, widths:
     families = _families(widths or range(1, window + 1), percent)
     span = max(mask[-1] for _, _, mask in families) + 1
     hashed = df.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key), F.transform(words(F.col("text")), lambda x: F.xxhash64(x)).alias("h"))
-    ahead = F.arrays_zip(*[(F.col("h") if i == 0 else F.slice("h", i + 1, F.greatest(F.size("h"), F.lit(1)))).alias(f"w{i}") for i in range(span)])
-    spans = hashed.select(key, F.least(F.size("h"), F.lit(window)).alias("wide"), F.posexplode(ahead).alias("at", "w"))
+    pieces = F.transform(F.sequence(F.lit(1), F.greatest(F.size("h"), F.lit(1)), F.lit(PIECE)), lambda c: F.slice(F.col("h"), c, F.lit(PIECE + span - 1)))
+    cut = hashed.select(key, F.least(F.size("h"), F.lit(window)).alias("wide"), F.posexplode(pieces).alias("piece", "w"))
+    spans = cut.select(key, "wide", "piece", "w", F.explode(F.sequence(F.lit(0), F.greatest(F.least(F.size("w"), F.lit(PIECE)), F.lit(1)) - 1)).alias("i"))
     masked = []
     for n, m, mask in families:
-        fits = F.col(f"w.w{mask[-1]}").isNotNull()
-        masked.append(F.when(fits if widths else fits & (F.col("wide") == n), F.xxhash64(F.lit(n), F.lit(m), *[F.col(f"w.w{i}") for i in mask])))
-    return spans.select(key, "at", F.explode(F.array(*masked)).alias("seed")).where("seed is not null")
+        kept = [F.get("w", F.col("i") + o) for o in mask]
+        fits = kept[-1].isNotNull()
+        masked.append(F.when(fits if widths else fits & (F.col("wide") == n), F.xxhash64(F.lit(n), F.lit(m), *kept)))
+    at = F.col("piece") * PIECE + F.col("i")
+    return spans.select(key, at.alias("at"), F.explode(F.array(*masked)).alias("seed")).where("seed is not null")
 
 
 def overlaps(docs: DataFrame, items: DataFrame, window: int = 12, percent: int = 80) -> DataFrame:

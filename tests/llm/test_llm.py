@@ -442,6 +442,22 @@ def test_decontamination_finds_what_brute_force_finds(spark):
     assert {(r["doc_id"], r["item_id"]): (r["item_words"], r["equal_words"], r["best_window"]) for r in got} == brute_overlaps(texts, items)
 
 
+@pytest.mark.parametrize("piece", [1, 7, 1024])
+def test_seeds_do_not_depend_on_pieces(spark, monkeypatch, piece):
+    item = [f"q{i}" for i in range(12)]
+    docs = {k: [f"w{k}x{i}" for i in range(k)] + item + ["z"] * 30 for k in (0, 1, 6, 7, 13, 1012, 1018, 1023, 1024, 2047)}
+    docs |= {5000: item[:11], 5001: [], 5002: item}
+    docs = {k: " ".join(v) for k, v in docs.items()} | {5003: None}
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "PIECE", piece)
+    frame = docs_of(spark, docs.items())
+    seeds = decontaminate._seeds(frame, "doc_id", widths=[12]).groupBy("doc_id").count().collect()
+    spans = [m[-1] + 1 for m in decontaminate.masks(12, 2)]
+    assert {r[0]: r[1] for r in seeds} == {k: n for k, v in docs.items() if (n := sum(max(len((v or "").split()) - x + 1, 0) for x in spans))}
+    got = {r["doc_id"]: r["equal_words"] for r in decontaminate.overlaps(frame, items).collect()}
+    assert got == {k: 11 if k == 5000 else 12 for k in docs if k not in (5001, 5003)}
+
+
 def test_chat(spark, monkeypatch):
     t = lambda c, *turns: [(c, i, "user" if i % 2 == 0 else "assistant", x) for i, x in enumerate(turns)]
     rows = [*t(1, "hi"), *t(2, "hi", "yo"), *t(3, "hi", "yo", "bye"), *t(4, "hi", "no"), *t(5, "hi", "no"), *t(6, "alone"), *t(7, *[f"m{i}" for i in range(30)]), *t(8, *[f"m{i}" for i in range(20)])]
