@@ -286,7 +286,7 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:  # noqa
     met = nodes.select("id", "doc_id", "tid").join(member.select("id").distinct(), "id", "left_semi")
     texts = materialize(_read(docs).join(met, ["doc_id", "tid"]).select("id", "text").dropDuplicates(["id"]), "texts")
     links = None
-    labels = docs.sparkSession.createDataFrame([], "id long, component long")
+    labels = docs.sparkSession.range(0).select("id", F.col("id").alias("component"))
     pairs = member.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     for turn in ("centre", "best", "all"):
         if turn != "centre":

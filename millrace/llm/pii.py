@@ -151,8 +151,8 @@ def _tally(docs: DataFrame, repeated: bytes, find: Callable[[str, int], Iterable
     in ``copy``, so that the same text of other tasks is not counted again. A key that one task meets in more
     different texts than ``most`` is only known to be above it.
     """
-    frame = docs.sparkSession.createDataFrame([], f"{keys}, copy long, rows long")
-    schema = pa.schema([(f.name, pa.string() if f.dataType.simpleString() == "string" else pa.int64()) for f in frame.schema])
+    fields = T._parse_datatype_string(f"{keys}, copy long, rows long")
+    schema = pa.schema([(f.name, pa.string() if f.dataType.simpleString() == "string" else pa.int64()) for f in fields])
     sent = docs.sparkSession.sparkContext.broadcast(repeated)
 
     def run(batches):
@@ -182,7 +182,7 @@ def _tally(docs: DataFrame, repeated: bytes, find: Callable[[str, int], Iterable
                 yield _frame(rows, schema)
 
     hashed = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("copy", F.xxhash64("text"))
-    found = hashed.mapInArrow(run, frame.schema).groupBy(*frame.columns[:-1]).agg(F.sum("rows").alias("rows"))
+    found = hashed.mapInArrow(run, fields).groupBy(*fields.names[:-1]).agg(F.sum("rows").alias("rows"))
     return found.withColumn("texts", F.when(F.col("copy").isNull(), F.col("rows")).otherwise(F.lit(1)))
 
 
@@ -205,7 +205,7 @@ def _texts_with(docs: DataFrame, repeated: bytes, terms: DataFrame, part: int) -
 
 def revealing_terms(docs: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:  # noqa: B008
     """(term, bits, confidence, share) of the terms that disclose an entity."""
-    none = docs.sparkSession.createDataFrame([], "term string, bits double, confidence double, share double")
+    none = docs.sparkSession.range(0).selectExpr("cast(id AS string) AS term", *[f"cast(id AS double) AS {c}" for c in ("bits", "confidence", "share")])
     context = docs.sparkSession.sparkContext
     copies = materialize(_texts(docs).groupBy(F.xxhash64("text").alias("copy")).count(), "copies")
     n, rows = copies.agg(F.count("*"), F.sum("count")).first()
@@ -254,37 +254,51 @@ _SPAN = "array<struct<kind:string,start:long,end:long,gone:boolean>>"
 _FOUND = "__spans"
 
 
-def _located(docs: DataFrame, limits: Thresholds) -> DataFrame:
+def _located(docs: DataFrame, limits: Thresholds, finish: Callable[[str, list[dict]], str] | None = None) -> DataFrame:
     """``docs`` with the spans of each text in a column of their own; ``gone`` marks terms to be removed.
 
-    The first pass finds the base spans too. Only the last pass is not written: no two blocks of terms are held at once."""
+    The first pass finds the base spans too. Only the last pass is not written: no two blocks of terms are held at once.
+    With ``finish`` that pass makes of each text and its spans the new text, and there is no column of spans: a pass
+    of its own would hold a second Python worker for each task."""
     spark = docs.sparkSession
     names, at_spans = [*docs.columns, _FOUND], len(docs.columns)
     at, fields = names.index("text"), T.StructType([*docs.schema.fields, T.StructField(_FOUND, T._parse_datatype_string(_SPAN))])
     arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("gone", pa.bool_())]))
 
-    def add(frame: DataFrame, shares: dict[str, float], first: bool) -> DataFrame:
+    def add(frame: DataFrame, shares: dict[str, float], first: bool) -> Callable[[Callable | None], DataFrame]:
         sent = spark.sparkContext.broadcast(shares)
 
-        def run(batches):
-            for batch in batches:
-                shares, spans = sent.value, []
-                for k, text in enumerate(batch.column(at)):
-                    text = text.as_py() or ""
-                    mine = [{"kind": KINDS[k], "start": s, "end": e, "gone": False} for s, k, e in base_spans(text)] if first else batch.column(at_spans)[k].as_py()
-                    if shares:
-                        mine += [{"kind": "term", "start": s, "end": e, "gone": shares[text[s:e].lower()] >= limits.remove_share} for s, _, e in term_spans(text, shares)]
-                    spans.append(mine)
-                columns = [c for i, c in enumerate(batch.columns) if i != at_spans]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, arrow)], names)
-
-        return frame.mapInArrow(run, fields)
-
-    out, first = docs, True
+        def located(finish: Callable | None) -> DataFrame:
+            def run(batches):
+                for batch in batches:
+                    shares, spans, new = sent.value, [], []
+                    for k, value in enumerate(batch.column(at)):
+                        raw = value.as_py()
+                        text = raw or ""
+                        mine = [{"kind": KINDS[k], "start": s, "end": e, "gone": False} for s, k, e in base_spans(text)] if first else batch.column(at_spans)[k].as_py()
+                        if shares:
+                            mine += [{"kind": "term", "start": s, "end": e, "gone": shares[text[s:e].lower()] >= limits.remove_share} for s, _, e in term_spans(text, shares)]
+                        if finish:
+                            new.append(finish(text, mine) if mine else raw)
+                        else:
+                            spans.append(mine)
+                    columns = batch.columns[:at_spans]
+                    if finish:
+                        columns[at] = pa.array(new, batch.schema.field(at).type)
+                        yield pa.RecordBatch.from_arrays(columns, names[:-1])
+                    else:
+                        yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, arrow)], names)
+
+            return frame.mapInArrow(run, docs.schema if finish else fields)
+
+        return located
+
+    out, last = docs, None
     for block in _blocks(revealing_terms(docs, limits)):
-        out = add(out if first else materialize(out, "spans"), {r.term: r.share for r in block}, first)
-        first = False
-    return add(out, {}, True) if first else out
+        if last:
+            out = materialize(last(None), "spans")
+        last = add(out, {r.term: r.share for r in block}, last is None)
+    return (last or add(out, {}, True))(finish)
 
 
 def _sorted(spans: str = _FOUND) -> F.Column:
@@ -311,19 +325,8 @@ def replace_spans(text: str, spans: list[tuple[int, int, int, bool]]) -> str:
 
 def sanitize(docs: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:  # noqa: B008
     """``docs`` with ``text`` made safe: base spans become [KIND], revealing terms [TERM] or nothing."""
-    names, rank = docs.columns, {k: n for n, k in enumerate(KINDS)}
-    at = names.index("text")
-
-    def run(batches):
-        for batch in batches:
-            new = []
-            for text, spans in zip(batch.column(at), batch.column(batch.num_columns - 1), strict=True):
-                text, spans = text.as_py(), spans.as_py()
-                new.append(replace_spans(text, [(x["start"], rank[x["kind"]], x["end"], x["gone"]) for x in spans]) if spans else text)
-            kept = [pa.array(new, batch.schema.field(at).type) if i == at else c for i, c in enumerate(batch.columns[:-1])]
-            yield pa.RecordBatch.from_arrays(kept, names)
-
-    return _located(docs, limits).mapInArrow(run, docs.schema)
+    rank = {k: n for n, k in enumerate(KINDS)}
+    return _located(docs, limits, lambda text, spans: replace_spans(text, [(x["start"], rank[x["kind"]], x["end"], x["gone"]) for x in spans]))
 
 
 def digest_spans(found: DataFrame) -> DataFrame:
