@@ -123,19 +123,19 @@ def signatures(docs: DataFrame, p: Params) -> DataFrame:
 
 
 def banded(nodes: DataFrame, p: Params) -> DataFrame:
-    """(bucket, id): one row per node and band."""
-    schema = pa.schema([("bucket", pa.int64()), ("id", pa.int64())])
+    """(bucket, id, size of its set): one row per node and band."""
+    schema = pa.schema([("bucket", pa.int64()), ("id", pa.int64()), ("size", pa.int64())])
 
     def run(batches):
         for batch in batches:
             for at in range(0, len(batch), 2000):
                 part = batch.slice(at, 2000)
-                raw = [x.as_py() for x in part.column(1)]
+                raw = [x.as_py() for x in part.column(2)]
                 step = 4 * p.rows
                 keys = [(xxhash.xxh3_64_intdigest(m[i * step : (i + 1) * step], i) >> 7) * 64 + i - (1 << 62) for m in raw for i in range(p.bands)]
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(np.repeat(np.asarray(part.column(0)), p.bands))], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *(pa.array(np.repeat(np.asarray(part.column(c)), p.bands)) for c in (0, 1))], schema=schema)
 
-    return nodes.select("id", "minima").mapInArrow(run, "bucket long, id long")
+    return nodes.select("id", "n_shingles", "minima").mapInArrow(run, "bucket long, id long, size long")
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
@@ -275,14 +275,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
 def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:  # noqa: B008
     """doc_id, n_shingles, component_id (least doc_id reachable by links) and kept, one row per row of ``docs``."""
     signed = materialize(signatures(docs, p), "signatures")
-    sets = signed.where("digest is not null").groupBy("digest").agg(F.min(F.struct("doc_id", "tid")).alias("x"))
-    sets = materialize(sets.select("digest", F.col("x.doc_id").alias("doc_id"), F.col("x.tid").alias("tid"), F.monotonically_increasing_id().alias("id")), "sets")
-    nodes = signed.join(sets, ["digest", "doc_id", "tid"]).select("id", "n_shingles", "minima", "doc_id", "tid")
-    nodes = materialize(nodes.dropDuplicates(["id"]), "nodes")
+    first = F.min(F.struct("doc_id", "tid", "n_shingles", "minima")).alias("x")  # equal sets have equal minima
+    nodes = signed.where("digest is not null").groupBy("digest").agg(first).select("digest", "x.*", F.monotonically_increasing_id().alias("id"))
+    nodes = materialize(nodes, "nodes")
     member = materialize(banded(nodes, p), "bands")
-    size = member.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("centre")).where("n > 1")
-    member = member.join(size, "bucket").join(nodes.select("id", "n_shingles"), "id")
-    member = materialize(member.select("bucket", "id", "centre", F.col("n_shingles").alias("size")), "buckets")
+    count = member.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("centre")).where("n > 1")
+    member = materialize(member.join(count, "bucket").select("bucket", "id", "centre", "size"), "buckets")
     met = nodes.select("id", "doc_id", "tid").join(member.select("id").distinct(), "id", "left_semi")
     texts = materialize(_read(docs).join(met, ["doc_id", "tid"]).select("id", "text").dropDuplicates(["id"]), "texts")
     links = None
@@ -301,7 +299,7 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:  # noqa
         if good is not None and not good.isEmpty():
             links = good if links is None else links.unionAll(good)
             labels = materialize(components(links), "labels")
-    named = sets.join(labels, "id", "left").select("digest", "doc_id", "component")
+    named = nodes.join(labels, "id", "left").select("digest", "doc_id", "component")
     least = named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
     group = named.join(least, "component", "left").select("digest", F.coalesce("least", "doc_id").alias("component"))
     out = signed.select("doc_id", "n_shingles", "digest").join(group, "digest", "left")

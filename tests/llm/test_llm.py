@@ -384,6 +384,27 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_components_by_either_way(spark, monkeypatch, most):
+    """Star steps and one task give the same; few links take few jobs."""
+    monkeypatch.setattr(components, "LINKS", most)
+    rng = np.random.default_rng(6)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 400, (260, 2))] * 2 + [(999, i) for i in range(900, 950)] + [(i, i - 1) for i in rng.permutation(range(2000, 2080)).tolist()] + [(7, 7), (None, 3), (3, None)]
+    root = {x: x for p in pairs if None not in p and p[0] != p[1] for x in p}
+    for _ in root:
+        for a, b in pairs:
+            if a in root and b in root:
+                root[a] = root[b] = min(root[a], root[b])
+    df = spark.createDataFrame(pairs, "a long, b long").repartition(5)
+    spark.sparkContext.setJobGroup(f"components {most}", "")
+    try:
+        got = [(r["id"], r["component"]) for r in components.components(df).collect()]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(got) == sorted(root.items())
+    assert not most or len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"components {most}")) <= 6
+
+
 def test_decontamination(spark, docs, empty, monkeypatch):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi"
     words = item.split()
