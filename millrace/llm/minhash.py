@@ -2,10 +2,11 @@
 
 Texts with one shingle set are one node. Nodes meet in buckets of equal bands. In each
 bucket the least node is first compared with all others, which joins most of a group at one
-comparison a node. Buckets that still hold nodes of different components are compared in
+comparison a node. Buckets whose other nodes are still of different components are compared in
 bounded blocks: each node proposes its most similar node of another component, then the full
 sets of all likely pairs across components are compared inside the blocks. No pair of a bucket that could join two components is
-skipped, and pairs within one component are never made. A pair must pass the length bound and
+skipped, and pairs within one component are never made. The blocks pair the nodes outside a bucket's largest component
+with each other and with that component, so their rows grow with the square of the former only. A pair must pass the length bound and
 the signature estimate before its full sets are compared; the margin of the estimate is near
 five standard deviations.
 
@@ -155,23 +156,35 @@ def likely(pairs: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").where(fit).select("a", "b", "ma", "mb").mapInArrow(run, "a long, b long")
 
 
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components: ``main`` is the label of the largest one, which has ``most`` of the ``n`` rows."""
+    count = rows.groupBy("bucket", "label").agg(F.count("*").alias("k"))
+    count = count.groupBy("bucket").agg(F.sum("k").alias("n"), F.max(F.struct("k", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
+    return rows.join(count.select("bucket", "n", F.col("top.k").alias("most"), F.col("top.label").alias("main")), "bucket")
+
+
 def _blocks(rows: DataFrame) -> DataFrame:
-    """The rows of each bucket, dealt for comparison in blocks: (bucket, low, high) names a block."""
-    cut = rows.withColumn("groups", F.ceil(F.col("n") / BLOCK)).withColumn("own", F.pmod(F.xxhash64("id"), F.col("groups")))
-    cut = cut.select("bucket", "id", "centre", "label", "size", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("other"))
-    return cut.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "id", "centre", "label", "size")
+    """The rows of each bucket, dealt for comparison in blocks: (bucket, low, high) names a block.
+
+    Rows of the main component are in pieces -1, -2, ... and the others in 0, 1, ...; two pieces meet in a block
+    unless both are of the main component, and each other piece meets itself where it meets piece -1."""
+    main, mains, others = F.col("label") == F.col("main"), F.ceil(F.col("most") / BLOCK), F.ceil((F.col("n") - F.col("most")) / BLOCK)
+    piece = lambda n: F.pmod(F.xxhash64("id"), n)
+    cut = rows.withColumn("own", F.when(main, -1 - piece(mains)).otherwise(piece(others)))
+    cut = cut.select("bucket", "id", "label", "size", "minima", "own", F.explode(F.sequence(F.when(main, F.lit(0).cast("long")).otherwise(-mains), others - 1)).alias("other")).where("own <> other")
+    return cut.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "id", "label", "size", "minima")
 
 
 def _across(t: pa.Table, p: Params) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Positions of likely partners in another component, and how alike, for each row of a block.
 
-    A pair belongs to the first band that it shares and to no other; pairs with the bucket's centre were
-    compared before."""
-    ids, label, size, own, band = (np.asarray(t.column(c)) for c in ("id", "label", "size", "own", "bucket"))
+    A pair belongs to the first band that it shares and to no other."""
+    ids, label, size, own = (np.asarray(t.column(c)) for c in ("id", "label", "size", "own"))
     m = np.frombuffer(b"".join(t.column("minima").to_pylist()), np.uint32).reshape(len(ids), -1)
-    low, high, centre, band = t.column("low")[0].as_py(), t.column("high")[0].as_py(), t.column("centre")[0].as_py(), int(band[0]) % 64
-    for x in np.flatnonzero((own == low) & (ids != centre)):
-        y = np.flatnonzero((label != label[x]) & (ids != centre) & (own == high) & ((ids > ids[x]) if low == high else True) & (100 * np.minimum(size, size[x]) >= p.percent * np.maximum(size, size[x])))
+    low, high, band = t.column("low")[0].as_py(), t.column("high")[0].as_py(), t.column("bucket")[0].as_py() % 64
+    for x in np.flatnonzero(own == high):
+        met = (own == low) | ((ids > ids[x]) & (own == high)) if low == -1 else own == low
+        y = np.flatnonzero(met & (label != label[x]) & (100 * np.minimum(size, size[x]) >= p.percent * np.maximum(size, size[x])))
         if len(y):
             same = m[y] == m[x]
             alike = same.mean(axis=1)
@@ -181,37 +194,40 @@ def _across(t: pa.Table, p: Params) -> Iterator[tuple[int, np.ndarray, np.ndarra
                 yield x, y[good], alike[good]
 
 
-_CUT = "bucket long, low long, high long, own long, id long, centre long, label long, size long"
+_CUT = "bucket long, low long, high long, own long, id long, label long, size long, minima binary"
+_NAMES = [f.split()[0] for f in _CUT.split(", ")]
 
 
-def proposed(rows: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
-    """(a, b): for each node and block its most similar likely partner of another component."""
+def likely_across(rows: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
+    """The rows of blocks that have likely partners in another component, and the ``best``, the most similar one.
+
+    Later links only join components, so rows left out here have none later."""
 
     def best(t: pa.Table) -> pa.Table:
-        ids, top = np.asarray(t.column("id")), {}
+        top, other = np.full(len(t), -1.0), np.full(len(t), -1)
         for x, y, alike in _across(t, p):
-            for j, s in zip(y, alike, strict=True):
-                for one, two in ((x, j), (j, x)):
-                    if s > top.get(one, (0, 0))[0]:
-                        top[one] = (s, two)
-        pairs = {(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, (_, j) in top.items()}
-        return pa.table({"a": pa.array([int(a) for a, _ in pairs], pa.int64()), "b": pa.array([int(b) for _, b in pairs], pa.int64())})
+            if (s := alike.max()) > top[x]:
+                top[x], other[x] = s, y[alike.argmax()]
+            more = alike > top[y]
+            top[y[more]], other[y[more]] = alike[more], x
+        found = np.flatnonzero(other >= 0)
+        return t.select(_NAMES).take(found).append_column("best", pa.array(np.asarray(t.column("id"))[other[found]], pa.int64()))
 
-    return _blocks(rows).join(nodes.select("id", "minima"), "id").groupBy("bucket", "low", "high").applyInArrow(best, "a long, b long").distinct()
+    return _blocks(rows.join(nodes.select("id", "minima"), "id")).groupBy("bucket", "low", "high").applyInArrow(best, f"{_CUT}, best long")
 
 
-def linked_across(rows: DataFrame, nodes: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
+def linked_across(wanted: DataFrame, labels: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
     """(a, b): links that join all components of each block that links can join.
 
-    The nodes with likely partners get their texts; their full sets are compared in the block, the most
-    alike first, and pairs that earlier links of the block have joined are left out."""
+    ``wanted`` are the rows of likely_across. Those that still have likely partners get their texts; their full sets
+    are compared in the block, the most alike first, and pairs that earlier links of the block have joined are left out."""
 
     def needed(t: pa.Table) -> pa.Table:
-        wanted = np.zeros(len(t), bool)
+        some = np.zeros(len(t), bool)
         for x, y, _ in _across(t, p):
-            wanted[x] = True
-            wanted[y] = True
-        return t.select([f.split()[0] for f in _CUT.split(", ")]).filter(pa.array(wanted))
+            some[x] = True
+            some[y] = True
+        return t.select(_NAMES).filter(pa.array(some))
 
     def links(t: pa.Table) -> pa.Table:
         ids, text = t.column("id").to_pylist(), t.column("text")
@@ -239,10 +255,14 @@ def linked_across(rows: DataFrame, nodes: DataFrame, texts: DataFrame, p: Params
                 out.append((ids[x], ids[j]))
         return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
-    minima = nodes.select("id", "minima")
     keys = ("bucket", "low", "high")
-    some = materialize(_blocks(rows).join(minima, "id").groupBy(*keys).applyInArrow(needed, _CUT), "needed")
-    return some.join(minima, "id").join(texts, "id").groupBy(*keys).applyInArrow(links, "a long, b long")
+    some = materialize(_labelled(wanted.drop("label", "best"), labels).groupBy(*keys).applyInArrow(needed, _CUT), "needed")
+    return some.join(texts, "id").groupBy(*keys).applyInArrow(links, "a long, b long")
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows with the ``label`` of their node's component, its own id where it has no links."""
+    return rows.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
@@ -283,20 +303,19 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:  # noqa
     member = materialize(member.join(count, "bucket").select("bucket", "id", "centre", "size"), "buckets")
     met = nodes.select("id", "doc_id", "tid").join(member.select("id").distinct(), "id", "left_semi")
     texts = materialize(_read(docs).join(met, ["doc_id", "tid"]).select("id", "text").dropDuplicates(["id"]), "texts")
-    links = None
+    links, wanted = None, None
     labels = docs.sparkSession.range(0).select("id", F.col("id").alias("component"))
-    pairs = member.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+    member = member.where("id <> centre")
     for turn in ("centre", "best", "all"):
-        if turn != "centre":
-            labelled = member.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
-            mixed = labelled.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket", "n")
-            rows = labelled.join(mixed, "bucket")
-        if turn == "all":
-            good = materialize(linked_across(rows, nodes, texts, p), "links")
-        else:
-            found = materialize(likely(pairs, nodes, p) if turn == "centre" else proposed(rows, nodes, p), "likely")
-            good = None if found.isEmpty() else materialize(confirmed(found, texts, p), "links")
-        if good is not None and not good.isEmpty():
+        if turn == "centre":
+            found = materialize(likely(member.select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), nodes, p), "likely")
+        elif turn == "best":
+            wanted = materialize(likely_across(_mixed(_labelled(member.drop("centre"), labels)), nodes, p), "wanted")
+            found = materialize(wanted.select(F.least("id", "best").alias("a"), F.greatest("id", "best").alias("b")).distinct(), "likely")
+        if found.isEmpty():
+            continue
+        good = materialize(confirmed(found, texts, p) if turn != "all" else linked_across(wanted, labels, texts, p), "links")
+        if not good.isEmpty():
             links = good if links is None else links.unionAll(good)
             labels = materialize(components(links), "labels")
     named = nodes.join(labels, "id", "left").select("digest", "doc_id", "component")

@@ -364,6 +364,34 @@ def test_a_hot_centre_is_split(spark, monkeypatch):
     assert {r["component_id"] for r in got} == {0}
 
 
+def test_blocks_of_a_large_component(spark, monkeypatch):
+    """The rows dealt into blocks do not grow with the square of a group that is linked, and no link is lost."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    dealt, blocks = [], minhash._blocks
+    monkeypatch.setattr(minhash, "_blocks", lambda rows: dealt.append((rows.count(), (out := blocks(rows)).count())) or out)
+    base = [f"w{i}" for i in range(80)]
+    texts = [(i, " ".join([*base, f"tail{i}"])) for i in range(100)]
+    texts += [(200 + i, " ".join([*base[: 50 + i], *(f"x{i}y{k}" for k in range(30 - i))])) for i in range(3)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(docs_of(spark, texts)).collect()}
+    assert got == brute_components(texts, 5) and len({c for _, c in got.values()}) == 4
+    assert dealt and sum(n for n, _ in dealt) > 100 and sum(x for _, x in dealt) <= 2 * sum(n for n, _ in dealt)
+
+
+def test_each_pair_of_components_meets_in_one_block(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    label = [0] * 10 + [10] * 4 + list(range(14, 20)) + [20] * 5 + [25] * 5 + [30, 31] + [32] * 4
+    bucket = [64] * 20 + [128] * 10 + [192] * 2 + [256] * 4
+    rows = spark.createDataFrame([(b, i, k, 9, bytes(512)) for i, (b, k) in enumerate(zip(bucket, label, strict=True))], "bucket long, id long, label long, size long, minima binary")
+    met = defaultdict(int)
+    for t in minhash._blocks(minhash._mixed(rows)).toPandas().groupby(["bucket", "low", "high"]):
+        block = minhash.pa.Table.from_pandas(t[1], preserve_index=False)
+        ids = block.column("id").to_pylist()
+        for x, y, _ in minhash._across(block, minhash.Params()):
+            for j in y:
+                met[tuple(sorted((ids[x], ids[j])))] += 1
+    assert met == {(i, j): 1 for i, j in itertools.combinations(range(len(label)), 2) if bucket[i] == bucket[j] and label[i] != label[j]}
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(1000, 1060)] + [(5, 5), (None, 3)]
