@@ -674,6 +674,20 @@ def test_pipeline_decides_row_by_row(spark, monkeypatch):
         assert stage(spark, df.limit(0), "").count() == 0
 
 
+def test_pipeline_deals_a_large_group_once(spark, monkeypatch):
+    """One row of a large group of near-duplicates is kept, and rows dealt into blocks do not grow with its square."""
+    import corpus_pipeline as cp
+
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    dealt, blocks = [], minhash._blocks
+    monkeypatch.setattr(minhash, "_blocks", lambda rows: dealt.append((rows.count(), (out := blocks(rows)).count())) or out)
+    base = [f"w{i}" for i in range(80)]
+    texts = [(i, " ".join([*base, f"tail{i}"])) for i in range(60)] + [(200, " ".join([*base[:66], *(f"x{k}" for k in range(14))]))]
+    kept = cp.drop_near_duplicates(spark, docs_of(spark, texts), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 200]
+    assert dealt and sum(n for n, _ in dealt) > 60 and sum(x for _, x in dealt) <= 2 * sum(n for n, _ in dealt)
+
+
 def test_shared_folder_is_needed_on_a_cluster():
     from types import SimpleNamespace
 
